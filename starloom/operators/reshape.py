@@ -155,8 +155,12 @@ def columnwise(df: DataFrame, order_by: list[str], max_rows: int = 10_000) -> Da
                 F.size("_rows") > max_rows,
                 F.raise_error(F.lit(f"columnwise: more than {max_rows} rows")),
             )
-            .otherwise(F.transform("_rows", lambda r, c=c: r[c]))
+            .otherwise(_field_of_each("_rows", c))
             .alias(c)
             for c in df.columns
         ]
     )
+
+
+def _field_of_each(rows: str, name: str) -> Column:
+    return F.transform(rows, lambda r: r[name])

@@ -35,16 +35,22 @@ def star_join(fact: DataFrame, paths: list[Path]) -> DataFrame:
     return out
 
 
-def star_rollup(fact: DataFrame, paths: list[Path], measures: dict[str, Column]) -> DataFrame:
+def star_rollup(
+    fact: DataFrame,
+    paths: list[Path],
+    measures: dict[str, Column],
+    degenerate: list[str] = (),
+) -> DataFrame:
     """C2 + aggregation: counts and sums of the fact by attributes of the dimensions.
 
     The fact is first summed by its foreign keys, then joined, then summed by attribute. What meets the
     dimensions is one row per key combination however many facts share it, so a company that holds a
-    third of the facts costs no more than any other. `measures` are additive inputs, each summed.
+    third of the facts costs no more than any other. `measures` are additive inputs, each summed;
+    `degenerate` are columns of the fact itself to group by.
     """
-    keys = [p.key for p in paths]
+    keys = [*degenerate, *[p.key for p in paths]]
     summed = fact.groupBy(*keys).agg(*[F.sum(c).alias(n) for n, c in measures.items()])
-    attributes = [n for p in paths for n in p.attributes]
+    attributes = [*degenerate, *[n for p in paths for n in p.attributes]]
     return (
         star_join(summed, paths)
         .groupBy(*attributes)

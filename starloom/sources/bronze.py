@@ -5,12 +5,10 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from starloom.sources.lake import day_path
 
-LANDED = StructType([StructField("path", StringType()), StructField("n_bytes", StringType())])
-
 
 def read_feed(
     spark: SparkSession,
@@ -40,32 +38,32 @@ def _same_form(path: str | Column):
     return "file:/" + path[5:].lstrip("/") if path.startswith("file:") else path
 
 
+def judge_payloads(payloads: DataFrame, payload: str = "payload") -> DataFrame:
+    """A3: adds `n_records`, `reason` and `accepted`; only a JSON array with an element passes."""
+    body, n = F.col(payload), F.json_array_length(payload)
+    return payloads.withColumns(
+        {
+            "n_records": n,
+            "reason": F.when(body.isNull() | (body == ""), "empty body")
+            .when(n.isNull(), "not a JSON array")
+            .when(n == 0, "no records"),
+        }
+    ).withColumn("accepted", F.col("reason").isNull())
+
+
 def landing_report(spark: SparkSession, landing: str) -> DataFrame:
-    """A3: one row per landed file: path, partition columns, records, verdict and reason.
+    """A3: one row per landed file: path, partition columns, payload, and the verdict on it.
 
-    A file passes when it is a JSON array with at least one element. Whole files are one value each,
-    which is what a feed file is: one response of one source on one day.
+    Whole files are one value each, which is what a feed file is: one response of one source.
     """
     bodies = spark.read.option("wholetext", True).text(landing)
     lineage = [c for c in bodies.columns if c != "value"]
-    counted = bodies.select(
-        _same_form(F.col("_metadata.file_path")).alias("path"),
-        *lineage,
-        F.json_array_length("value").alias("n_records"),
-        F.col("value").alias("payload"),
+    read = bodies.select(
+        _same_form(F.col("_metadata.file_path")).alias("path"), *lineage, F.col("value").alias("payload")
     )
-    # Spark leaves files of zero length out of every scan; the names come from its own file listing.
+    # Spark leaves files of zero length out of every scan; their names come from its own file listing.
     named = spark.createDataFrame([(_same_form(p),) for p in bodies.inputFiles()], "path string")
-    return (
-        named.join(counted, "path", "left")
-        .withColumn(
-            "reason",
-            F.when(F.col("payload").isNull(), "empty body")
-            .when(F.col("n_records").isNull(), "not a JSON array")
-            .when(F.col("n_records") == 0, "no records"),
-        )
-        .withColumn("accepted", F.col("reason").isNull())
-    )
+    return judge_payloads(named.join(read, "path", "left"))
 
 
 def promote(report: DataFrame, base: str) -> None:

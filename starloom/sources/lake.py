@@ -64,6 +64,7 @@ def publish(
     name: str,
     kind: str = "table",
     location: str | None = None,
+    schema_location: str | None = None,
 ) -> DataFrame:
     """Materialize as a `view` or a `table` in the schema named, which is taken upper-cased and verbatim.
 
@@ -77,7 +78,8 @@ def publish(
         return spark.table(f"{schema}_{name}")
     if kind != "table":
         raise ValueError(f"kind must be 'view' or 'table', got {kind!r}")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
+    at = f" LOCATION '{schema_location}'" if schema_location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`{at}")
     writer = df.write.mode("overwrite")
     if location:
         writer = writer.option("path", location)
