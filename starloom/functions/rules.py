@@ -90,10 +90,13 @@ def classify_by_value(value: ColumnLike, rules: Rules, default: str) -> Column:
 def tag_terms(text: ColumnLike, terms: list[str] = SKILL_TERMS) -> Column:
     """Array of the terms that occur anywhere in the lowered text, in vocabulary order.
 
-    Terms match inside words (`java` in `javascript`). One array of plain `contains` tests compiles into
-    the scan stage; the lambda form (`filter(array, ...)`) is interpreted per element.
+    Terms match inside words (`java` in `javascript`). The lowered text is bound once as a lambda variable:
+    written into every test it would be lowered once per term, which costs more than the search.
     """
+    distinct = list(dict.fromkeys(terms))
+
+    def found_in(lowered: Column) -> Column:
+        return F.array_compact(F.array(*[F.when(lowered.contains(t), F.lit(t)) for t in distinct]))
+
     lowered = F.lower(F.coalesce(as_column(text), F.lit("")))
-    return F.array_compact(
-        F.array(*[F.when(lowered.contains(t), F.lit(t)) for t in dict.fromkeys(terms)])
-    )
+    return F.transform(F.array(lowered), found_in)[0]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -9,8 +10,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from starloom.operators.columns import quoted
 from starloom.session import cut_lineage
 
-# Above this many rows in one group, its rows are spread over slices.
+# Above this many rows in one group, its rows are spread over slices of about this size.
 GROUP_ROWS = 2_000_000
+# The range partitioner samples rows per slice on the driver, which bounds how many slices are sensible.
+MAX_SLICES = 20_000
 COPIES_PER_BLOCK = 100_000
 
 
@@ -30,22 +33,23 @@ def with_neighbour(
     A window puts a whole group, or without `group` the whole table, into one task. Where the largest
     group is counted to be too large for that, the rows are range-partitioned by group and order
     instead: a group may then span slices, each slice finds its neighbours alone, and the row at its
-    edge takes the first (or last) row of the next slice. There is one edge row per slice, a number
-    fixed by the shuffle setting, so that table is safe to broadcast.
+    edge takes the first (or last) row of the next slice. There is one edge row per slice and at most
+    `MAX_SLICES` of them, so that table is safe to broadcast.
 
     `sized_by` is the cheaper frame to count groups in, where `df` is itself the result of a shuffle; it
     must not have fewer rows per group.
     """
     counted = (df if sized_by is None else sized_by).groupBy(*map(quoted, group)).count()
-    largest = counted.agg(F.max("count").alias("n")).first().n or 0
+    sizes = counted.agg(F.max("count").alias("largest"), F.sum("count").alias("total")).first()
     step = F.lead if forward else F.lag
     ordering = [F.col(quoted(o)).asc_nulls_last() for o in order]
     here = F.struct(*[F.col(quoted(o)).alias(f"o{i}") for i, o in enumerate(order)])
-    if largest <= group_rows:
+    if (sizes.largest or 0) <= group_rows:
         window = Window.partitionBy(*map(quoted, group)).orderBy(*ordering)
         return df.withColumn(out, step(here).over(window))
 
-    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = max(usual, min(math.ceil(sizes.total / max(group_rows, 1)), MAX_SLICES)) if group_rows else usual
     grouping = [F.col(quoted(g)).asc_nulls_last() for g in group]
     sliced = cut_lineage(
         df.repartitionByRange(slices, *grouping, *ordering).withColumn("_slice", F.spark_partition_id())

@@ -10,6 +10,8 @@ from starloom.plans.star import Path, star_join, star_rollup
 from starloom.plans.suite import integrity_suite
 from starloom.queries.postings import STAGED_SKILLS_SQL, STAGED_SQL, raw_jobs, raw_skills
 from starloom.queries.registry import Tables, query
+from starloom.session import scratch_path
+from starloom.sources.lake import replace_rows
 
 ROLE_SQL = """
     dim_role AS (
@@ -326,9 +328,12 @@ _SUITE_PASSES = [
 def integrity_suite_verdicts(t: Tables) -> DataFrame:
     """All declared keys of the star, one verdict each.
 
-    Postings older than the stored calendar are orphans of `dim_date`, and are reported as such.
+    Postings older than the stored calendar are orphans of `dim_date`, and are reported as such. Staging is
+    written first, as in a daily run, since some thirty checks read it.
     """
-    postings, skills = staged(t), staged_skills(t)
+    base = scratch_path(t.spark, "suite")
+    postings = replace_rows(staged(t), f"{base}/stg_jobs")
+    skills = replace_rows(staged_skills(t), f"{base}/stg_job_skills")
     return integrity_suite(
         {"stg_jobs": postings, "stg_job_skills": skills, **marts.build_marts(t.spark, postings, skills)}
     )
