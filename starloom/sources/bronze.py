@@ -39,8 +39,14 @@ def _same_form(path: str | Column):
 
 
 def judge_payloads(payloads: DataFrame, payload: str = "payload") -> DataFrame:
-    """A3: adds `n_records`, `reason` and `accepted`; only a JSON array with an element passes."""
-    body, n = F.col(payload), F.json_array_length(payload)
+    """A3: adds `n_records`, `reason` and `accepted`; only a JSON array with an element passes.
+
+    The array must be the whole payload: the parser stops after the first value, so the payload is also
+    counted as the single element of an array around it.
+    """
+    body = F.col(payload)
+    alone = F.json_array_length(F.concat(F.lit("["), body, F.lit("]"))) == 1
+    n = F.when(alone, F.json_array_length(body))
     return payloads.withColumns(
         {
             "n_records": n,
@@ -56,7 +62,7 @@ def landing_report(spark: SparkSession, landing: str) -> DataFrame:
 
     Whole files are one value each, which is what a feed file is: one response of one source.
     """
-    bodies = spark.read.option("wholetext", True).text(landing)
+    bodies = spark.read.text(landing, wholetext=True)
     lineage = [c for c in bodies.columns if c != "value"]
     read = bodies.select(
         _same_form(F.col("_metadata.file_path")).alias("path"), *lineage, F.col("value").alias("payload")
