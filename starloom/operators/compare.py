@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from starloom.operators.columns import quoted
 
@@ -31,19 +31,22 @@ def two_way_except(a: DataFrame, b: DataFrame, tag: str = "which_diff") -> DataF
 
 
 def compare_counts(a: DataFrame, b: DataFrame, group: list[str], names: tuple[str, str]) -> DataFrame:
-    """C4: row counts of both frames side by side, by group or in total, as a full outer join.
+    """C4: row counts of both frames side by side, by group or in total, as a full outer join would give them.
 
-    Each side is one row per group when it reaches the join. Null group keys do not match; without
-    groups an empty frame contributes no row. Group columns come back as `<name>_a` and `<name>_b`.
+    Each side is one row per group when it reaches the join. Null group keys do not match; in total, an
+    empty frame has no count rather than 0. Group columns come back as `<name>_a` and `<name>_b`.
     """
+    if not group:
+        sides = a.select(F.lit(True).alias("_ours")).unionAll(b.select(F.lit(False).alias("_ours")))
+        counts = [F.count_if("_ours"), F.count_if(~F.col("_ours"))]
+        totals = sides.agg(*[F.nullif(c, F.lit(0)).alias(n) for c, n in zip(counts, names)])
+        return totals.filter(F.coalesce(*names).isNotNull())
 
     def counted(df: DataFrame, side: str, name: str) -> DataFrame:
-        keys = [F.lit(1).alias(f"_one_{side}"), *[F.col(quoted(g)).alias(f"{g}_{side}") for g in group]]
+        keys = [F.col(quoted(g)).alias(f"{g}_{side}") for g in group]
         return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
     left, right = counted(a, "a", names[0]), counted(b, "b", names[1])
-    on: Column = left["_one_a"] == right["_one_b"]
-    for g in group:
-        on = on & (left[f"{g}_a"] == right[f"{g}_b"])
+    on = [left[f"{g}_a"] == right[f"{g}_b"] for g in group]
     keys = [f"{g}_{side}" for g in group for side in ("a", "b")]
     return left.join(right, on, "full_outer").select(*map(quoted, keys), *names)

@@ -59,6 +59,9 @@ def single_value(query: DataFrame, default=None) -> Column:
     while the plan is built: Spark runs it as a scalar subquery and can push the value into the scan.
     """
     first = query.columns[0]
+    if default is None:
+        return query.limit(1).select(first).scalar()
+    # The struct tells a missing row from a null.
     kind = query.schema[first].dataType
     wrapped = query.limit(1).select(F.struct(F.col(first).alias("v")))
     fallback = F.struct(F.lit(default).cast(kind).alias("v"))

@@ -47,8 +47,7 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 def test_single_value_is_pushed_into_the_scan(spark):
     plan = physical(REGISTRY["scalar_threshold"].run(spark, FOLDER))
-    assert "GreaterThan(o_totalprice,ScalarSubquery" in plan or "ScalarSubquery" in plan
-    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert "GreaterThan(o_totalprice,ScalarSubquery" in plan
 
 
 @pytest.mark.parametrize("name", ["fact_posting", "latest_snapshot", "dedup_lines"])
