@@ -130,6 +130,8 @@ FEEDS = {m.source: m for m in (FLAT, STRUCTS, NESTED)}
 def conform(raw: DataFrame, mapping: SourceMapping, run_date: date | Column) -> Conformed:
     """L1-L3: the postings and skill pairs of one feed.
 
+    The mapping gives typed columns (B7), first array elements and values kept on a condition (B8, B9);
+    source and day are constants (B4), and the final projection drops what only the rules needed (B10).
     Rows without a title are no postings (B5). Whatever a row mentions is reduced to flags and a short
     array here, so bodies of text leave the plan at the scan.
     """

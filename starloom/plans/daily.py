@@ -12,7 +12,7 @@ from starloom.plans.conform import FEEDS, SourceMapping, conform
 from starloom.plans.marts import build_marts, stage_postings, stage_skills
 from starloom.plans.suite import integrity_suite
 from starloom.sources.bronze import landing_report, promote, read_feed
-from starloom.sources.lake import publish, replace_rows, require_root, write_day
+from starloom.sources.lake import clustered, publish, replace_rows, require_root, write_day
 from starloom.streaming.load import load_raw
 
 
@@ -69,11 +69,13 @@ def run_day(
     landing: str | None = None,
     feeds: dict[str, SourceMapping] = FEEDS,
     schema: str | None = None,
+    cluster_facts: bool = False,
 ) -> DayResult:
     """Land, conform each feed, load, stage, model, check; `day` is the only date anywhere.
 
     Every layer is written before the next one reads it, so a lost executor repeats at most one layer.
-    With `schema`, marts also become catalog tables of that schema.
+    With `schema`, marts also become catalog tables of that schema. `cluster_facts` sorts the fact by date,
+    for tables of hundreds of millions of rows.
     """
     if landing:
         land(spark, landing, base)
@@ -85,6 +87,8 @@ def run_day(
         "stg_job_skills": replace_rows(stage_skills(raw["raw_job_skills"]), f"{base}/staging/stg_job_skills"),
     }
     marts = build_marts(spark, staged["stg_jobs"], staged["stg_job_skills"])
+    if cluster_facts:
+        marts["fact_job_posting"] = clustered(marts["fact_job_posting"], "date_key")
     written = {}
     for name, df in marts.items():
         location = f"{base}/marts/{name}"

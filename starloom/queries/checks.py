@@ -337,7 +337,7 @@ def chk_assert_equal(t: Tables) -> DataFrame:
     """
 )
 def chk_verdicts(t: Tables) -> DataFrame:
-    """K23 with K2, K3, K10-K13, K18, K22: passing checks, thresholds, severity, and a check turned around."""
+    """K23 with K2, K3, K10-K13, K18, K22, C5, F2: passing checks, thresholds, severity, and a check turned around."""
     segment = t.customer.select(_missing_segment().alias("segment"))
     return k.verdicts(
         [

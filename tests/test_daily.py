@@ -63,7 +63,7 @@ def test_two_days_and_a_rerun(spark, tmp_path, rows):
 
     # Repeating a day appends its new files to raw, and nothing downstream changes.
     before = {n: rows(df) for n, df in again.tables.items()}
-    repeated = run_day(spark, base, second, schema="marts_rerun")
+    repeated = run_day(spark, base, second, schema="marts_rerun", cluster_facts=True)
     assert {n: rows(df) for n, df in repeated.tables.items()} == before
     assert spark.table("MARTS_RERUN.dim_date").count() == 4018
     assert spark.read.parquet(f"{base}/raw/raw_jobs").count() == 4 + 3 + 3
