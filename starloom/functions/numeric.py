@@ -17,16 +17,20 @@ def _zero_for_null(c: ColumnLike) -> Column:
     return F.coalesce(as_column(c), F.lit(0))
 
 
+def _operands(fields: list[ColumnLike]) -> list[Column]:
+    if isinstance(fields, (str, Column)):
+        raise TypeError("give one list of fields")
+    return [_zero_for_null(f) for f in fields]
+
+
 def safe_add(fields: list[ColumnLike]) -> Column:
     """Sum over a row with nulls as 0."""
-    return reduce(lambda a, b: a + b, map(_zero_for_null, fields))
+    return reduce(lambda a, b: a + b, _operands(fields))
 
 
 def safe_subtract(fields: list[ColumnLike]) -> Column:
     """First minus all others, left to right, nulls as 0."""
-    if isinstance(fields, (str, Column)):
-        raise TypeError("safe_subtract takes one list of fields")
-    return reduce(lambda a, b: a - b, map(_zero_for_null, fields))
+    return reduce(lambda a, b: a - b, _operands(fields))
 
 
 def safe_divide(numerator: ColumnLike, denominator: ColumnLike) -> Column:

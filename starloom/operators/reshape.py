@@ -30,25 +30,28 @@ def union_relations(
     if include and exclude:
         raise ValueError("give include or exclude, not both")
     wanted = {n.lower() for n in include}
-    kinds: dict[str, str] = {}
+    # Names are compared without regard to case, as Spark does; the first spelling stays.
+    kinds: dict[str, tuple[str, str]] = {}
     for df in relations.values():
         types = dict(df.dtypes)
         for name in filtered_columns(df, exclude):
             if not wanted or name.lower() in wanted:
-                kinds.setdefault(name, types[name])
+                kinds.setdefault(name.lower(), (name, types[name]))
     if not kinds:
         raise ValueError(f"no columns left to union for {', '.join(relations)}")
-    kinds.update({n: t for n, t in (column_override or {}).items() if n in kinds})
+    overrides = {n.lower(): t for n, t in (column_override or {}).items()}
 
     def part(label: str, df: DataFrame) -> DataFrame:
-        present = set(df.columns)
+        present = {c.lower() for c in df.columns}
         lineage = [F.lit(label).alias(source_column)] if source_column else []
         rows = df if where is None else df.filter(where)
         return rows.select(
             *lineage,
             *[
-                (F.col(quoted(n)) if n in present else F.lit(None)).cast(t).alias(n)
-                for n, t in kinds.items()
+                (F.col(quoted(name)) if key in present else F.lit(None))
+                .cast(overrides.get(key, kind))
+                .alias(name)
+                for key, (name, kind) in kinds.items()
             ],
         )
 

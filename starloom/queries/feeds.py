@@ -147,10 +147,15 @@ def nested_feed(t: Tables) -> Conformed:
     return conform(raw, NESTED, RUN_DATE)
 
 
+def _without_zone(jobs: DataFrame) -> DataFrame:
+    """Feeds state moments in UTC; SQL here has the same moments without a zone."""
+    return jobs.withColumn("posted_at", F.to_utc_timestamp("posted_at", F.current_timezone()).cast("timestamp_ntz"))
+
+
 @query(_FLAT_SQL + _JOBS)
 def conform_flat_jobs(t: Tables) -> DataFrame:
     """L1, B5, B7, G6, H3, H4."""
-    return flat_feed(t).jobs
+    return _without_zone(flat_feed(t).jobs)
 
 
 @query(_FLAT_SQL + _SKILLS)
@@ -162,7 +167,7 @@ def conform_flat_skills(t: Tables) -> DataFrame:
 @query(_STRUCT_SQL + _JOBS)
 def conform_struct_jobs(t: Tables) -> DataFrame:
     """L2, B2, B6, H3, H5."""
-    return struct_feed(t).jobs
+    return _without_zone(struct_feed(t).jobs)
 
 
 @query(_STRUCT_SQL + _SKILLS)
@@ -174,7 +179,7 @@ def conform_struct_skills(t: Tables) -> DataFrame:
 @query(_NESTED_SQL + _JOBS)
 def conform_nested_jobs(t: Tables) -> DataFrame:
     """L3, B8, B9."""
-    return nested_feed(t).jobs
+    return _without_zone(nested_feed(t).jobs)
 
 
 @query(_NESTED_SQL + _SKILLS)

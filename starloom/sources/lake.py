@@ -99,10 +99,7 @@ def publish(
 def matching_tables(
     spark: SparkSession, schema_pattern: str, table_pattern: str, exclude: str = ""
 ) -> DataFrame:
-    """Catalog tables whose schema and name match LIKE patterns in any case, minus an exclude pattern.
-
-    A prefix search is the pattern `prefix%`.
-    """
+    """Catalog tables whose schema and name match LIKE patterns in any case, minus an exclude pattern."""
     rows = [
         (db.name, t.name, {"MANAGED": "table", "EXTERNAL": "external"}.get(t.tableType, "view"))
         for db in spark.catalog.listDatabases()
@@ -117,6 +114,11 @@ def matching_tables(
     ).distinct()
 
 
+def tables_with_prefix(spark: SparkSession, schema: str, prefix: str, exclude: str = "") -> DataFrame:
+    """The same by the beginning of the name."""
+    return matching_tables(spark, schema, f"{prefix}%", exclude)
+
+
 def open_tables(spark: SparkSession, found: DataFrame) -> dict[str, DataFrame]:
     """The frames behind the rows of `matching_tables`, by qualified name (names only reach the driver)."""
     names = [f"{r.table_schema}.{r.table_name}" for r in found.orderBy("table_schema", "table_name").collect()]

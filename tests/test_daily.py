@@ -136,6 +136,7 @@ def test_catalog(spark, tmp_path, rows):
     assert spark.table("stage_test.events_1").count() == 1
     found = lake.matching_tables(spark, "STAGE\\_TEST", "EVENTS%", exclude="%old")
     assert rows(found.select("table_name", "table_type")) == [("events_1", "table"), ("events_2", "table")]
+    assert rows(lake.tables_with_prefix(spark, "stage_test", "OTH").select("table_name")) == [("other",)]
     assert set(lake.open_tables(spark, found)) == {"stage_test.events_1", "stage_test.events_2"}
     with pytest.raises(ValueError, match="kind"):
         lake.publish(df, "stage_test", "x", kind="index")

@@ -58,6 +58,8 @@ def test_union_relations(spark, rows):
     got = reshape.union_relations({"a": a, "b": b})
     assert got.columns == [reshape.SOURCE_COLUMN, "id", "name", "color", "favorite_number"]
     assert rows(got) == [("a", 1, "ann", "red", None), ("b", 2, "bob", None, 7)]
+    cased = reshape.union_relations({"a": a, "b": b.withColumnRenamed("name", "NAME")}, source_column=None)
+    assert cased.columns == ["id", "name", "color", "favorite_number"] and cased.filter("name = 'bob'").count() == 1
     typed = reshape.union_relations({"a": a, "b": b}, column_override={"id": "string"}, exclude=["NAME"], source_column=None, where="id > 1")
     assert typed.dtypes == [("id", "string"), ("color", "string"), ("favorite_number", "int")]
     assert rows(typed) == [("2", None, 7)]
