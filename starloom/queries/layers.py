@@ -33,13 +33,14 @@ from starloom.streaming.load import load_new_files
 
 DAY = date(2026, 6, 1)
 # Feed files made here hold the rows of this many consecutive keys; the keys are unique, so a file is bounded.
-KEYS_PER_FILE = 500
+KEYS_PER_FILE = 5_000
+LONG_TEXTS_PER_FILE = 500
 
 
-def payload_files(rows: DataFrame, key: str, element, source: str) -> DataFrame:
+def payload_files(rows: DataFrame, key: str, element, source: str, keys_per_file: int = KEYS_PER_FILE) -> DataFrame:
     """JSON arrays of bounded length, one per future file: `source, ingestion_date, payload`."""
     return (
-        rows.select(F.floor(F.col(key) / KEYS_PER_FILE).alias("_file"), element.alias("_element"))
+        rows.select(F.floor(F.col(key) / keys_per_file).alias("_file"), element.alias("_element"))
         .groupBy("_file")
         .agg(F.to_json(F.collect_list("_element")).alias("payload"))
         .select(F.lit(source).alias("source"), F.lit(DAY).alias("ingestion_date"), "payload")
@@ -243,13 +244,13 @@ def _land_three_feeds(t: Tables, landing: str) -> None:
             F.lit("Telework; SQL").alias("QualificationSummary"),
         ).alias("MatchedObjectDescriptor"),
     )
-    for rows, key, element, mapping in (
-        (t.part, "p_partkey", flat, FLAT),
-        (t.documents, "doc_id", structs, STRUCTS),
-        (t.orders, "o_orderkey", nested, NESTED),
+    for rows, key, element, mapping, size in (
+        (t.part, "p_partkey", flat, FLAT, KEYS_PER_FILE),
+        (t.documents, "doc_id", structs, STRUCTS, LONG_TEXTS_PER_FILE),
+        (t.orders, "o_orderkey", nested, NESTED, KEYS_PER_FILE),
     ):
         (
-            payload_files(rows, key, element, mapping.source)
+            payload_files(rows, key, element, mapping.source, size)
             .write.mode("append")
             .option("maxRecordsPerFile", 1)
             .partitionBy("source", "ingestion_date")

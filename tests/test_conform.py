@@ -141,6 +141,15 @@ def test_landing_gate_and_promotion(spark, tmp_path):
     assert sorted(r.id for r in bronze.read_feed(spark, str(tmp_path), "E", DAY, FLAT.schema).collect()) == ["1", "2"]
 
 
+def test_drifting_fields_and_broken_files(spark, tmp_path):
+    elements = [{"id": 1.5, "company": "plain text", "title": "a"}, None, {"id": {"x": 1}, "company": {"display_name": "c"}}]
+    got = read(spark, tmp_path, STRUCTS, elements).select("id", "title", "company.display_name").collect()
+    assert [tuple(r) for r in got] == [("1.5", "a", None), (None, None, None), ('{"x":1}', None, "c")]
+    (tmp_path / "bronze" / "source=Adzuna" / f"ingestion_date={DAY}" / "more.json").write_text("[{")
+    with pytest.raises(Exception, match="not a JSON array"):
+        bronze.read_feed(spark, str(tmp_path), "Adzuna", DAY, STRUCTS.schema).collect()
+
+
 def test_flatten_pages_stops_at_the_first_empty_page(spark, rows):
     pages = spark.createDataFrame(
         [("a", 1, [1, 2]), ("a", 2, []), ("a", 3, [9]), ("b", 1, [5]), ("b", 2, [6]), ("c", 1, None), ("c", 2, [7])],
