@@ -104,10 +104,24 @@ def equality(
 
 @check
 def expect_table_columns_to_match_set(df: DataFrame, columns: list[str]):
-    """Column names on one side only, as a full outer join of the two name lists; case is ignored."""
-    spark = df.sparkSession
-    ours = spark.createDataFrame([(c.upper(),) for c in df.columns], "relation_column string")
-    given = spark.createDataFrame([(c.upper(),) for c in columns], "input_column string")
-    return ours.join(given, F.col("relation_column") == F.col("input_column"), "full_outer").filter(
-        "relation_column IS NULL OR input_column IS NULL"
+    """Column names on one side only, as `relation_column, input_column`; case is ignored.
+
+    This is a full outer join of two name lists. Both are schema, known while the plan is built, so
+    they are put side by side there and no rows move.
+    """
+    ours, given = {c.upper() for c in df.columns}, {c.upper() for c in columns}
+
+    def name_if(present: bool, name: str) -> Column:
+        return (F.lit(name) if present else F.lit(None)).cast("string")
+
+    pairs = [
+        F.struct(
+            name_if(n in ours, n).alias("relation_column"), name_if(n in given, n).alias("input_column")
+        )
+        for n in sorted(ours | given)
+    ]
+    return (
+        df.sparkSession.range(0, 1, 1, 1)
+        .select(F.inline(F.array(*pairs)))
+        .filter("relation_column IS NULL OR input_column IS NULL")
     )
