@@ -158,9 +158,13 @@ def _one_row_per_posting(base: DataFrame) -> DataFrame:
 
 
 def _skill_pairs(base: DataFrame) -> DataFrame:
-    """One row per posting and skill, lower-cased and trimmed, blanks dropped."""
+    """One row per posting and skill, lower-cased and trimmed, blanks dropped.
+
+    The outer form of explode, whose nulls the filter drops: for the inner form Spark tests the array for
+    emptiness first, which tags every text a second time.
+    """
     return (
-        base.select("posting_id", "source", "ingestion_date", F.explode("skills").alias("_raw"))
+        base.select("posting_id", "source", "ingestion_date", F.explode_outer("skills").alias("_raw"))
         .select("posting_id", "source", "ingestion_date", F.lower(F.trim("_raw")).alias("skill"))
         .filter(F.length("skill") > 0)
         .distinct()

@@ -207,7 +207,8 @@ def text_flags(t: Tables) -> DataFrame:
 )
 def vocab_bridge(t: Tables) -> DataFrame:
     """Document-term pairs by plain containment in the whole text."""
-    return t.documents.select("doc_id", F.explode(tag_terms("text", TEXT_TERMS)).alias("term"))
+    pairs = t.documents.select("doc_id", F.explode_outer(tag_terms("text", TEXT_TERMS)).alias("term"))
+    return pairs.filter(F.col("term").isNotNull())
 
 
 @query(
