@@ -56,6 +56,9 @@ def collect_state(
     """
     own = spark.newSession()
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    # many small stores: no space is set aside in advance, and a commit writes its changes only
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "256")
     own.conf.set("spark.sql.session.timeZone", "UTC")
