@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import dedup, jaccard, packing, quality, toxicity
+from starloom.llm import dedup, jaccard, lm, packing, pages, quality, rangecoder, segmentation, tokenfiles, toxicity
 from starloom.queries.registry import Query
 
 REGISTRY: dict[str, Query] = {}
@@ -61,11 +61,38 @@ def quality_rules(docs: DataFrame, labels: DataFrame) -> list[quality.Rule]:
     return quality.fit_rules(quality.with_statistics(sample), "label", most_rows=QUALITY_ROWS)
 
 
+@llm_query()
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, found by scanning the token files of the whole table."""
+    return tokenfiles.token_counts(table(spark, sf_dir, "documents"))
+
+
+@llm_query()
+def op2_gumbel_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sampled segmentations of every turn."""
+    turns = table(spark, sf_dir, "conversations")
+    return segmentation.sample_segmentations(turns, ["conv_id", "turn"], "text", k=2).drop("ids")
+
+
+@llm_query()
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract_articles(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 @llm_query()
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@llm_query()
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{sf_dir}/documents.parquet"
+    scored = lm.score(spark, path, "crc32(cast(cast(doc_id as string) as binary)) % 5 <> 1")
+    return scored.selectExpr(
+        "id as doc_id", "not train as held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 _LINKS_SQL = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(
@@ -101,6 +128,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@llm_query()
+def op8_range_coded_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rangecoder.round_trip(table(spark, sf_dir, "documents"))
+
+
 @llm_query("""
 SELECT doc_id, max(doc_id) OVER p AS keep_id, count(*) OVER p AS group_size,
        doc_id = max(doc_id) OVER p AS kept, sha256(coalesce(text, '')) AS text_sha256
