@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 MOST_CHUNKS = 1_000_000  # remembered by a worker; beyond, it forgets and encodes anew
 BLANK = "\t-\r \x85\xa0  -     　"
-LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
+LETTER = "A-Za-zÀ-ÖØ-öø-įı-ɏ"  # without the one whose lower case has a mark of its own
 # Places where any of the pre-tokenizers cuts, whatever comes before and after: behind a run of Latin letters
 # that an ASCII character follows, and behind a run of ASCII signs and digits without an apostrophe that an
 # ASCII letter, white space or the end follows. All else stays with its neighbours up to the next white space.

@@ -100,7 +100,7 @@ WITH RECURSIVE w AS (
   FROM documents),
 s AS (
   SELECT doc_id, unnest(CASE WHEN len(l) >= 5
-      THEN list_distinct(list_transform(range(1, len(l) - 3), i -> array_to_string(l[i:i + 4], ' ')))
+      THEN list_distinct(list_transform(range(1, len(l) - 3), lambda i: array_to_string(l[i:i + 4], ' ')))
       WHEN len(l) > 0 THEN [array_to_string(l, ' ')] ELSE [] END) AS g
   FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),

@@ -157,7 +157,8 @@ class RangeDecoder:
             if not len(need):
                 break
             lane = at[need]
-            self.code[lane] = ((self.code[lane] << 8) | self.data[self.at[lane]]) & FULL
+            # a damaged record may ask for more than there is; its checksum then fails
+            self.code[lane] = ((self.code[lane] << 8) | self.data[np.minimum(self.at[lane], len(self.data) - 1)]) & FULL
             self.at[lane] += 1
             low[need] = (low[need] << 8) & FULL
             rng[need] <<= 8
@@ -220,10 +221,10 @@ def decode_block(record: bytes) -> np.ndarray:
         at = np.flatnonzero(kind == 2)
         if len(at):
             got = coder.target(at, np.broadcast_to(model.high_cum[-1], at.shape))
-            hi = np.searchsorted(model.high_cum, got, "right") - 1
+            hi = np.minimum(np.searchsorted(model.high_cum, got, "right") - 1, 255)
             coder.take(at, model.high_cum[hi], model.high_cum[hi + 1] - model.high_cum[hi])
             got = coder.target(at, model.low_cum[hi, -1])
-            lo = np.searchsorted(model.low_flat, got + (hi << 17), "right") - 1 - hi * 257
+            lo = np.clip(np.searchsorted(model.low_flat, got + (hi << 17), "right") - 1 - hi * 257, 0, 255)
             coder.take(at, model.low_cum[hi, lo], model.low_cum[hi, lo + 1] - model.low_cum[hi, lo])
             x[at] = (hi << 8) | lo
         model.learn(x, kind, a, b)

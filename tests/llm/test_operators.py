@@ -316,8 +316,8 @@ def test_links_at_the_threshold(spark, block, monkeypatch):
         base = [f"s{size}w{k}" for k in range(size)]
         for _ in range(9):
             rows.append((len(rows), " ".join(base)))
-            at = rng.randrange(size)
             base = base[:]
+            at = rng.randrange(len(base))
             base[at] = f"x{len(rows)}" if rng.random() < 0.6 else base[at]
             if rng.random() < 0.5:
                 base = base + [f"y{len(rows)}"] if rng.random() < 0.5 else base[1:] or base
