@@ -31,6 +31,7 @@ from starloom.session import scratch_path
 
 GRAM = 5
 RATIO = 1.5  # of the upper bounds of neighbouring size classes
+MOST_MARKS = 1 << 27  # bits of the bitmap of candidates: 16 MB
 BLOCK_GRAMS = 2_000_000  # n-grams of the sets that one task holds at a time, about
 
 
@@ -342,6 +343,36 @@ def _candidates(docs: DataFrame, text_col: str) -> DataFrame:
     return signed.repartition(n, "sig").sortWithinPartitions("sig", "fp").mapInArrow(stars, "a long, b long").distinct()
 
 
+def _only_chosen(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Rows (d, text) whose d may be among the ids of `chosen`: all that are, and few others.
+
+    A bitmap of hashed ids, of at most MOST_MARKS bits, goes to the workers, so that texts without a candidate
+    are left out before the join shuffles any. Where it is too small for the ids it lets more rows through.
+    """
+    spark = rows.sparkSession
+    size = max(1 << 15, min(MOST_MARKS, 1 << (16 * chosen.count()).bit_length()))
+    place = F.pmod(F.xxhash64("id"), F.lit(size))
+    pages = (
+        chosen.select(place.alias("at"))
+        .groupBy(F.shiftright("at", 15).alias("page"))
+        .agg(F.expr("bitmap_construct_agg(at & 32767)").alias("bits"))
+        .toArrow()  # at most size / 2**15 rows of 4 KB
+    )
+    marks = np.zeros(size // 8, np.uint8)
+    for page, bits in zip(pages["page"].to_pylist(), pages["bits"].to_pylist(), strict=True):
+        marks[page * 4096 : (page + 1) * 4096] = np.frombuffer(bits, np.uint8)
+    shared = spark.sparkContext.broadcast(marks)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(2).to_numpy()
+            on = (shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1
+            yield batch.select(["d", "text"]).filter(pa.array(on.astype(bool)))
+
+    placed = rows.select("d", "text", F.pmod(F.xxhash64("d"), F.lit(size)).alias("at"))
+    return placed.mapInArrow(keep, "d long, text string")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs`: the id, `n_shingles` and `component_id`, the smallest id reachable by links.
 
@@ -381,7 +412,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 content = pa.array([grams[at[i] : at[i + 1]].tobytes() for i in ok], pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns[:4], content], names=["fp", "grp", "blocks", "block", "grams"])
 
-    text = docs.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).alias("text"))
+    text = _only_chosen(docs.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).alias("text")), routed.select("id"))
     content = routed.join(text, routed.id.eqNullSafe(text.d)).select("fp", "grp", "blocks", "block", "text")
     content = content.mapInArrow(read_sets, "fp long, grp long, blocks int, block int, grams binary")
     content = content.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
