@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from starloom.checks.outcome import check
 from starloom.functions.dates import add_units
 from starloom.functions.text import ColumnLike, as_column
-from starloom.operators.columns import quoted
+from starloom.operators.columns import fresh_name, quoted
 from starloom.operators.compare import compare_counts
 
 
@@ -26,21 +26,20 @@ def unique(df: DataFrame, column: ColumnLike):
 @check
 def unique_combination_of_columns(df: DataFrame, columns: list[str]):
     """Combinations that occur more than once; nulls equal each other."""
-    return (
-        df.groupBy(*map(quoted, columns))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter("_n > 1")
-        .drop("_n")
-    )
+    n = fresh_name(df, "_n")
+    return df.groupBy(*map(quoted, columns)).agg(F.count(F.lit(1)).alias(n)).filter(F.col(n) > 1).drop(n)
 
 
 @check
-def equal_rowcount(df: DataFrame, compare: DataFrame, group_by: list[str] = ()):
+def equal_rowcount(df: DataFrame, compare: DataFrame, group_by: list[str] = (), strict: bool = False):
     """K9/C4: row counts of both tables; failures are the summed differences.
 
-    A group on one side only has no difference and passes, and so does an empty table.
+    A group on one side only has no difference and passes, and so does an empty table; with `strict`, a
+    missing side counts as 0 rows, so both fail.
     """
     counts = compare_counts(df, compare, list(group_by), ("count_a", "count_b"))
+    if strict:
+        counts = counts.fillna(0, ["count_a", "count_b"])
     return (
         counts.withColumn("diff_count", F.abs(F.col("count_a") - F.col("count_b"))),
         F.sum(F.coalesce("diff_count", F.lit(0))),
@@ -48,10 +47,15 @@ def equal_rowcount(df: DataFrame, compare: DataFrame, group_by: list[str] = ()):
 
 
 @check
-def fewer_rows_than(df: DataFrame, compare: DataFrame, group_by: list[str] = ()):
-    """The surplus over the other table, or 1 where both are equal; else 0."""
+def fewer_rows_than(df: DataFrame, compare: DataFrame, group_by: list[str] = (), strict: bool = False):
+    """The surplus over the other table, or 1 where both are equal; else 0.
+
+    With `strict`, a side that is missing or empty counts as 0 rows; otherwise it passes.
+    """
     ours, theirs = "count_our_model", "count_comparison_model"
     counts = compare_counts(df, compare, list(group_by), (ours, theirs))
+    if strict:
+        counts = counts.fillna(0, [ours, theirs])
     delta = (
         F.when(F.col(ours) > F.col(theirs), F.col(ours) - F.col(theirs))
         .when(F.col(ours) == F.col(theirs), F.lit(1))

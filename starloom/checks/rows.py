@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starloom.checks.outcome import check
+from starloom.operators.columns import quoted
 from starloom.functions.text import ColumnLike, as_column
 
 
@@ -45,8 +46,9 @@ def expression_is_true(df: DataFrame, expression: str | Column, column: str | No
 @check
 def not_empty_string(df: DataFrame, column: str, trim_whitespace: bool = True):
     """Empty texts, after trimming unless told otherwise; null passes."""
-    value = F.trim(column) if trim_whitespace else F.col(column)
-    return df.select(value.alias(column)).filter(F.col(column) == "")
+    value = F.col(quoted(column))
+    value = F.trim(value) if trim_whitespace else value
+    return df.select(value.alias(column)).filter(F.col(quoted(column)) == "")
 
 
 @check

@@ -18,6 +18,14 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def fresh_name(df: DataFrame, base: str) -> str:
+    """`base`, with underscores added until no column of the frame has that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def star(
     df: DataFrame,
     exclude: list[str] = (),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from starloom.operators.columns import quoted
+from starloom.operators.columns import fresh_name, quoted
 
 ONLY_LEFT, ONLY_RIGHT = "a_minus_b", "b_minus_a"
 
@@ -16,15 +16,14 @@ def two_way_except(a: DataFrame, b: DataFrame, tag: str = "which_diff") -> DataF
     two EXCEPTs, and repeated rows shrink before it. Nulls equal each other, as in EXCEPT.
     """
     columns = a.columns
-    stacked = a.withColumn("_side", F.lit(1)).unionAll(
-        b.toDF(*columns).withColumn("_side", F.lit(2))
-    )
+    side, lo, hi = (fresh_name(a, n) for n in ("_side", "_lo", "_hi"))
+    stacked = a.withColumn(side, F.lit(1)).unionAll(b.toDF(*columns).withColumn(side, F.lit(2)))
     return (
         stacked.groupBy(*map(quoted, columns))
-        .agg(F.min("_side").alias("_lo"), F.max("_side").alias("_hi"))
-        .filter("_lo = _hi")
+        .agg(F.min(side).alias(lo), F.max(side).alias(hi))
+        .filter(F.col(lo) == F.col(hi))
         .select(
-            F.when(F.col("_lo") == 1, F.lit(ONLY_LEFT)).otherwise(F.lit(ONLY_RIGHT)).alias(tag),
+            F.when(F.col(lo) == 1, F.lit(ONLY_LEFT)).otherwise(F.lit(ONLY_RIGHT)).alias(tag),
             *map(quoted, columns),
         )
     )
@@ -47,6 +46,6 @@ def compare_counts(a: DataFrame, b: DataFrame, group: list[str], names: tuple[st
         return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
     left, right = counted(a, "a", names[0]), counted(b, "b", names[1])
-    on = [left[f"{g}_a"] == right[f"{g}_b"] for g in group]
+    on = [left[quoted(f"{g}_a")] == right[quoted(f"{g}_b")] for g in group]
     keys = [f"{g}_{side}" for g in group for side in ("a", "b")]
     return left.join(right, on, "full_outer").select(*map(quoted, keys), *names)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starloom.functions.text import ColumnLike, as_column
-from starloom.operators.columns import quoted
+from starloom.operators.columns import fresh_name, quoted
 
 
 def deduplicate(
@@ -28,7 +28,8 @@ def deduplicate(
     window = Window.partitionBy(*map(as_column, partition_by)).orderBy(
         *map(as_column, [*order_by, *tie_break])
     )
-    return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
+    rank = fresh_name(df, "_rank")
+    return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) == 1).drop(rank)
 
 
 def _orderable(kind) -> bool:

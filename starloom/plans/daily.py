@@ -33,9 +33,11 @@ def land(spark: SparkSession, landing: str, base: str) -> None:
     """A3/A2: accept or reject the landed files, then take them over unchanged."""
     report = landing_report(spark, landing).persist(StorageLevel.DISK_ONLY)
     try:
-        rejected = report.filter(~F.col("accepted")).select("path", "reason").limit(20).collect()
+        # names and reasons only, of the files of one landing
+        rejected = report.filter(~F.col("accepted")).select("path", "reason").orderBy("path").collect()
         if rejected:
-            raise LandingRejected("; ".join(f"{r.path}: {r.reason}" for r in rejected))
+            listed = "; ".join(f"{r.path}: {r.reason}" for r in rejected)
+            raise LandingRejected(f"{len(rejected)} files rejected: {listed}")
         promote(report, base)
     finally:
         report.unpersist()

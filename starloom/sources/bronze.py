@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StructType
 
+from starloom.operators.columns import fresh_name, quoted
 from starloom.sources.lake import day_path
 
 
@@ -20,7 +21,8 @@ def read_feed(
     """A1/A2: one row per element of the JSON arrays of these days, with `source` and `ingestion_date`.
 
     Only the folders of the days asked for are listed, so the cost does not grow with the history. A field
-    of another kind than declared is null; a file that is no JSON array stops the read.
+    of another kind than declared is null; a file that is not exactly one JSON array stops the read: also
+    a bare object, one object per line, or anything after the array.
 
     Files are read as whole texts and parsed from memory. The multi-line JSON reader would go back to the
     file for every number that is declared as text: one more read, or one more request to an object
@@ -30,7 +32,7 @@ def read_feed(
     paths = [day_path(f"{base}/bronze", source, d) for d in days]
     files = spark.read.option("basePath", f"{base}/bronze").text(paths, wholetext=True)
     elements = F.coalesce(
-        F.from_json("value", ArrayType(schema)),
+        F.when(_array_length(F.col("value")).isNotNull(), F.from_json("value", ArrayType(schema))),
         F.raise_error(F.concat(F.lit("not a JSON array: "), F.col("_metadata.file_path"))),
     )
     return files.select(F.inline(elements), "source", "ingestion_date")
@@ -43,15 +45,23 @@ def _same_form(path: str | Column):
     return "file:/" + path[5:].lstrip("/") if path.startswith("file:") else path
 
 
+def _array_length(body: Column) -> Column:
+    """The number of elements if the text is one JSON array and nothing else, else null.
+
+    The parser stops after the first value, so the text is also counted as the single element of an array
+    around it.
+    """
+    alone = F.json_array_length(F.concat(F.lit("["), body, F.lit("]"))) == 1
+    return F.when(alone, F.json_array_length(body))
+
+
 def judge_payloads(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     """A3: adds `n_records`, `reason` and `accepted`; only a JSON array with an element passes.
 
-    The array must be the whole payload: the parser stops after the first value, so the payload is also
-    counted as the single element of an array around it.
+    The array must be the whole payload.
     """
     body = F.col(payload)
-    alone = F.json_array_length(F.concat(F.lit("["), body, F.lit("]"))) == 1
-    n = F.when(alone, F.json_array_length(body))
+    n = _array_length(body)
     return payloads.withColumns(
         {
             "n_records": n,
@@ -101,17 +111,21 @@ def flatten_pages(
     """A4: the items of all pages before the first empty page of their feed, one row per item.
 
     A page whose `items` array is missing or empty ends its feed, also when later pages hold items.
-    The first empty page is one small row per feed, aggregated before any shuffle.
+    The first empty page is one small row per feed, aggregated before any shuffle. A null key is a feed
+    like any other.
     """
     keys = keys or []
+    name = fresh_name(pages, "_stop")
     empty = F.coalesce(F.size(items), F.lit(0)) <= 0
-    stops = pages.groupBy(*keys).agg(F.min(F.when(empty, F.col(page))).alias("_stop"))
+    stops = pages.groupBy(*keys).agg(F.min(F.when(empty, F.col(page))).alias(name))
     if keys:
-        kept = pages.join(stops, keys, "left")
-        stop = F.col("_stop")
+        ends = stops.toDF(*[fresh_name(pages, f"_key{i}") for i in range(len(keys))], name)
+        same = [F.col(quoted(k)).eqNullSafe(F.col(e)) for k, e in zip(keys, ends.columns)]
+        kept = pages.join(ends, same, "left")
+        stop = F.col(name)
     else:
         kept = pages
-        stop = stops.select("_stop").scalar()
+        stop = stops.select(name).scalar()
     return (
         kept.filter(stop.isNull() | (F.col(page) < stop))
         .select(*keys, page, F.explode(items).alias("item"))

@@ -7,6 +7,9 @@ from pyspark.sql.types import StructType
 
 from starloom.schemas import RAW_JOBS, RAW_SKILLS
 
+# A stream of files drops, without a word, what is older than this against the newest file.
+NO_AGE_LIMIT = "365000d"
+
 RAW_TABLES = {
     "raw_jobs": ("jobs", RAW_JOBS),
     "raw_job_skills": ("job_skills", RAW_SKILLS),
@@ -26,10 +29,14 @@ def load_new_files(
     The stream's own progress log remembers files, and the file sink commits a batch as a whole, so a
     lost executor or a killed run leaves neither gaps nor doubles. Columns are matched by name in any
     case; a broken file stops the load. A backlog is taken in batches of bounded size.
+
+    A file's age never matters: late feeds, backfills and copies that keep their times are loaded too. The
+    price is that the progress log keeps the name of every file ever loaded.
     """
     query = (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", NO_AGE_LIMIT)
         .parquet(folder)
         .writeStream.format("parquet")
         .option("path", target)
