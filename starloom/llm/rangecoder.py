@@ -29,11 +29,12 @@ from starloom.llm.encode import encoder, text_groups
 from starloom.session import scratch_path
 
 MAGIC = b"SLRC"
-VERSION = 1
+VERSION = 2
 LANES = 4096
 BLOCK_IDS = 1 << 18
 HEAD = struct.Struct("<4sHHIII")
-TOP, BOTTOM, FULL = 1 << 24, 1 << 16, (1 << 32) - 1
+#: Low end and range have 48 bits and leave in words of 16. Below 2^53, float division gives the exact quotient.
+WORD, TOP, BOTTOM, FULL = 16, 1 << 32, 1 << 17, (1 << 48) - 1
 CONTEXT_BITS = 17
 STORED = "file long, block long, doc_ids array<long>, doc_tokens array<long>, record binary"
 TOKENIZER = "byte_bpe_50k.json"
@@ -43,125 +44,136 @@ class Model:
     """The adaptive state of one block; coder and decoder make the same calls in the same order."""
 
     def __init__(self, lanes: int):
-        self.two = np.full(1 << CONTEXT_BITS, -1, np.int64)
-        self.two_sure = np.zeros(1 << CONTEXT_BITS, np.int64)
-        self.one = np.full(1 << 16, -1, np.int64)
-        self.one_sure = np.zeros(1 << 16, np.int64)
-        self.kind = np.tile(np.array([4, 4, 8], np.int64), (32, 1))
+        #: id * 4 + how sure (0 to 3) behind each context; -4: none yet
+        self.two = np.full(1 << CONTEXT_BITS, -4, np.int32)
+        self.one = np.full(1 << 16, -4, np.int32)
+        self.kind = np.tile(np.array([[4], [4], [8]], np.int64), 32)
         self.high = np.ones(256, np.int64)
-        self.low = np.ones((256, 256), np.int64)
-        self.last = np.zeros(lanes, np.int64)
-        self.last2 = np.zeros(lanes, np.int64)
+        self.low = np.ones(1 << 16, np.int64)
+        self.last = np.zeros(lanes, np.int32)
+        self.last2 = np.zeros(lanes, np.int32)
         self.steps = 0
+        self.high_cum = np.zeros(257, np.int64)
+        #: one rising sequence for all rows, to search in: row h starts at h << 17
+        self.row = (np.arange(256, dtype=np.int64) << 17)[:, None]
+        self.low_cum = np.empty((256, 257), np.int64)
+        self.low_cum[:, :1] = self.row
+        self.low_flat = self.low_cum.ravel()
         self.refresh()
 
     def refresh(self) -> None:
+        low = self.low.reshape(256, 256)
         while self.high.sum() > 50_000:
             self.high = (self.high + 1) >> 1
-        while (over := self.low.sum(1) > 50_000).any():
-            self.low[over] = (self.low[over] + 1) >> 1
-        self.high_cum = np.append(0, np.cumsum(self.high))
-        self.low_cum = np.zeros((256, 257), np.int64)
-        np.cumsum(self.low, axis=1, out=self.low_cum[:, 1:])
-        #: one rising sequence for all rows, to search in
-        self.low_flat = (self.low_cum + (np.arange(256) << 17)[:, None]).ravel()
-
-    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        while (over := low.sum(1) > 50_000).any():
+            low[over] = (low[over] + 1) >> 1
+        np.cumsum(self.high, out=self.high_cum[1:])
+        self.high_of = np.repeat(np.arange(256), self.high)
+        np.cumsum(low, axis=1, out=self.low_cum[:, 1:])
+        self.low_cum[:, 1:] += self.row
+
+    def predict(self) -> tuple[np.ndarray, ...]:
         """Order-2 and order-1 ids (-1: none) and the frequencies (order 2, order 1, neither) of each lane."""
-        self.place = ((self.last2 * 40503 + self.last * 2654435761) >> 7) & ((1 << CONTEXT_BITS) - 1)
-        a, b = self.two[self.place], self.one[self.last]
-        self.context = np.minimum(self.two_sure[self.place], 3) * 8 + np.minimum(self.one_sure[self.last], 3) * 2 + (a == b)
-        f = self.kind[self.context].copy()
-        f[a < 0, 0] = 0
-        f[(b < 0) | (a == b), 1] = 0
-        return a, b, f
-
-    def learn(self, ids: np.ndarray, kind: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-        self.kind += np.bincount(self.context * 3 + kind, minlength=96).reshape(32, 3) * 24
-        while (over := self.kind.sum(1) > 50_000).any():
-            self.kind[over] = (self.kind[over] + 1) >> 1
-        for table, sure, at, guess in ((self.two, self.two_sure, self.place, a), (self.one, self.one_sure, self.last, b)):
-            right = guess == ids
-            sure[at] = np.where(right, np.minimum(sure[at] + 1, 3), 0)
-            table[at] = ids  # of lanes with one context the last one counts
+        u, v = self.last2.view(np.uint32), self.last.view(np.uint32)
+        self.place = (u * np.uint32(40503) + v * np.uint32(2654435761)) >> np.uint32(32 - CONTEXT_BITS)
+        self.seen2, self.seen1 = self.two[self.place], self.one[self.last]
+        a, b = self.seen2 >> 2, self.seen1 >> 2
+        same = a == b
+        self.context = (self.seen2 & 3) * 8 + (self.seen1 & 3) * 2 + same
+        f0, f1, f2 = self.kind[:, self.context]
+        return a, b, f0 * (a >= 0), f1 * ((b >= 0) & ~same), f2
+
+    def order0(self, hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and frequency of the low byte, given the high one."""
+        at = hi * 257 + lo
+        start = self.low_flat[at]
+        return start - (hi << 17), self.low_flat[at + 1] - start
+
+    def total0(self, hi: np.ndarray) -> np.ndarray:
+        return self.low_flat[hi * 257 + 256] - (hi << 17)
+
+    def learn(self, ids: np.ndarray, kind: np.ndarray) -> None:
+        self.kind += np.bincount(self.context + 32 * kind, minlength=96).reshape(3, 32) * 24
+        while (over := self.kind.sum(0) > 50_000).any():
+            self.kind[:, over] = (self.kind[:, over] + 1) >> 1
+        for table, at, seen in ((self.two, self.place, self.seen2), (self.one, self.last, self.seen1)):
+            # of lanes with one context the last one counts
+            table[at] = np.where(seen >> 2 == ids, seen + ((seen & 3) < 3), ids << 2)
         miss = ids[kind == 2]
         self.high += np.bincount(miss >> 8, minlength=256) * 16
-        self.low += np.bincount(miss, minlength=1 << 16).reshape(256, 256) * 16
+        np.add.at(self.low, miss, 16)
         self.last2, self.last = self.last, ids
         self.steps += 1
         if self.steps < 16 or self.steps % 4 == 0:
             self.refresh()
 
 
+def _settle(low: np.ndarray, rng: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Shift ranges that are too narrow, in place; gives the places and the words that leave, round by round."""
+    need = np.flatnonzero(rng < TOP)
+    while len(need):
+        x, r = low[need], rng[need]
+        same = (x ^ (x + r)) < TOP
+        go = np.flatnonzero(same | (r < BOTTOM))
+        if not len(go):
+            return
+        need, x = need[go], x[go]
+        r = np.where(same[go], r[go], -x & (BOTTOM - 1)) << WORD
+        low[need], rng[need] = (x << WORD) & FULL, r
+        yield need, x >> 32
+        need = need[r < TOP]
+
+
 class RangeEncoder:
     def __init__(self, lanes: int, most: int):
         self.low = np.zeros(lanes, np.int64)
         self.range = np.full(lanes, FULL, np.int64)
-        self.out = np.zeros((lanes, most), np.uint8)
+        self.out = np.zeros((lanes, most), "<u2")
         self.n = np.zeros(lanes, np.int64)
 
-    def put(self, at: np.ndarray, start: np.ndarray, freq: np.ndarray, total: np.ndarray) -> None:
-        low, rng = self.low[at], self.range[at]
-        unit = rng // total
-        low = low + unit * start
-        rng = unit * freq
-        need = np.arange(len(at))
-        while len(need):
-            x, r = low[need], rng[need]
-            same = (x ^ (x + r)) < TOP
-            small = ~same & (r < BOTTOM)
-            rng[need[small]] = (-x[small]) & (BOTTOM - 1)
-            need = need[same | small]
-            if not len(need):
-                break
-            lane = at[need]
-            self.out[lane, self.n[lane]] = low[need] >> 24
-            self.n[lane] += 1
-            low[need] = (low[need] << 8) & FULL
-            rng[need] <<= 8
+    def put(self, at: np.ndarray | slice, start: np.ndarray, freq: np.ndarray, total: np.ndarray | int) -> None:
+        unit = (self.range[at] / total).astype(np.int64)
+        low, rng = self.low[at] + unit * start, unit * freq
+        for need, word in _settle(low, rng):
+            lane = need if isinstance(at, slice) else at[need]
+            n = self.n[lane]
+            self.out[lane, n] = word
+            self.n[lane] = n + 1
         self.low[at], self.range[at] = low, rng
 
     def finish(self) -> list[bytes]:
-        for _ in range(4):
-            self.out[np.arange(len(self.n)), self.n] = self.low >> 24
-            self.n += 1
-            self.low = (self.low << 8) & FULL
-        return [self.out[k, : self.n[k]].tobytes() for k in range(len(self.n))]
+        # a range is never under 2^17, so two words settle it, whatever follows them
+        value = self.low + (BOTTOM >> 1) - 1
+        every = np.arange(len(self.n))
+        self.out[every, self.n] = value >> 32
+        self.out[every, self.n + 1] = (value >> WORD) & 0xFFFF
+        return [row[:n].tobytes() for row, n in zip(self.out, (self.n + 2).tolist(), strict=True)]
 
 
 class RangeDecoder:
-    def __init__(self, data: np.ndarray, begin: np.ndarray):
-        self.data = np.append(data, np.zeros(8, np.uint8)).astype(np.int64)
+    def __init__(self, words: np.ndarray, begin: np.ndarray):
+        self.words = np.append(words, np.zeros(4, "<u2")).astype(np.int64)
         self.at = begin.copy()
         self.low = np.zeros(len(begin), np.int64)
         self.range = np.full(len(begin), FULL, np.int64)
         self.code = np.zeros(len(begin), np.int64)
-        for _ in range(4):
-            self.code = (self.code << 8) | self.data[self.at]
+        for _ in range(3):
+            self.code = (self.code << WORD) | self.words[self.at]
             self.at += 1
 
-    def target(self, at: np.ndarray, total: np.ndarray) -> np.ndarray:
-        self.unit = self.range[at] // total
-        return np.minimum((self.code[at] - self.low[at]) // self.unit, total - 1)
-
-    def take(self, at: np.ndarray, start: np.ndarray, freq: np.ndarray) -> None:
-        low = self.low[at] + self.unit * start
-        rng = self.unit * freq
-        need = np.arange(len(at))
-        while len(need):
-            x, r = low[need], rng[need]
-            same = (x ^ (x + r)) < TOP
-            small = ~same & (r < BOTTOM)
-            rng[need[small]] = (-x[small]) & (BOTTOM - 1)
-            need = need[same | small]
-            if not len(need):
-                break
-            lane = at[need]
+    def target(self, at: np.ndarray | slice, total: np.ndarray | int) -> np.ndarray:
+        self.unit = (self.range[at] / total).astype(np.int64)
+        # the bounds matter for damaged records only
+        return np.clip(((self.code[at] - self.low[at]) / self.unit).astype(np.int64), 0, total - 1)
+
+    def take(self, at: np.ndarray | slice, start: np.ndarray, freq: np.ndarray) -> None:
+        low, rng = self.low[at] + self.unit * start, self.unit * freq
+        for need, _ in _settle(low, rng):
+            lane = need if isinstance(at, slice) else at[need]
+            place = self.at[lane]
             # a damaged record may ask for more than there is; its checksum then fails
-            self.code[lane] = ((self.code[lane] << 8) | self.data[np.minimum(self.at[lane], len(self.data) - 1)]) & FULL
-            self.at[lane] += 1
-            low[need] = (low[need] << 8) & FULL
-            rng[need] <<= 8
+            self.code[lane] = ((self.code[lane] << WORD) & FULL) | self.words[np.minimum(place, len(self.words) - 1)]
+            self.at[lane] = place + 1
         self.low[at], self.range[at] = low, rng
 
 
@@ -176,22 +188,26 @@ def encode_block(ids: np.ndarray) -> bytes:
     ids = np.ascontiguousarray(ids, "<u4")
     n = len(ids)
     lanes, steps = _shape(n)
-    grid = np.zeros(lanes * steps, np.int64)
+    grid = np.zeros(lanes * steps, np.int32)
     grid[:n] = ids
-    grid = grid.reshape(lanes, steps)
-    model, coder = Model(lanes), RangeEncoder(lanes, 8 * steps + 8)
-    every = np.arange(lanes)
-    for t in range(steps):
-        x = grid[:, t].copy()
-        a, b, f = model.predict()
-        kind = np.where(x == a, 0, np.where(x == b, 1, 2))
-        coder.put(every, np.where(kind == 0, 0, np.where(kind == 1, f[:, 0], f[:, 0] + f[:, 1])), f[every, kind], f.sum(1))
+    grid = np.ascontiguousarray(grid.reshape(lanes, steps).T)
+    # a put takes at most 16 bits from a range and 17 when it is cut: 99 bits an id are under 7 words
+    model, coder = Model(lanes), RangeEncoder(lanes, 7 * steps + 8)
+    every = slice(None)
+    for x in grid:
+        a, b, f0, f1, f2 = model.predict()
+        is0 = x == a
+        is1 = (x == b) & ~is0
+        kind = np.where(is0, 0, 2 - is1)
+        f01 = f0 + f1
+        coder.put(every, np.where(is0, 0, np.where(is1, f0, f01)), np.where(is0, f0, np.where(is1, f1, f2)), f01 + f2)
         at = np.flatnonzero(kind == 2)
         if len(at):
             hi, lo = x[at] >> 8, x[at] & 255
-            coder.put(at, model.high_cum[hi], model.high_cum[hi + 1] - model.high_cum[hi], np.broadcast_to(model.high_cum[-1], hi.shape))
-            coder.put(at, model.low_cum[hi, lo], model.low_cum[hi, lo + 1] - model.low_cum[hi, lo], model.low_cum[hi, -1])
-        model.learn(x, kind, a, b)
+            start = model.high_cum[hi]
+            coder.put(at, start, model.high_cum[hi + 1] - start, int(model.high_cum[-1]))
+            coder.put(at, *model.order0(hi, lo), model.total0(hi))
+        model.learn(x, kind)
     codes = coder.finish()
     sizes = np.array([len(c) for c in codes], "<u4").tobytes()
     return HEAD.pack(MAGIC, VERSION, 0, n, lanes, zlib.crc32(ids)) + sizes + b"".join(codes)
@@ -205,31 +221,35 @@ def decode_block(record: bytes) -> np.ndarray:
     if magic != MAGIC or version != VERSION or lanes != _shape(n)[0]:
         raise ValueError("not a record of this format")
     steps = _shape(n)[1]
+    if len(record) < HEAD.size + 4 * lanes:
+        raise ValueError("a record is cut off")
     sizes = np.frombuffer(record, "<u4", lanes, HEAD.size).astype(np.int64)
-    data = np.frombuffer(record, np.uint8, offset=HEAD.size + 4 * lanes)
-    if len(data) != sizes.sum():
+    if len(record) - HEAD.size - 4 * lanes != sizes.sum() or (sizes % 2).any():
         raise ValueError("a record is cut off")
-    model, coder = Model(lanes), RangeDecoder(data, np.append(0, np.cumsum(sizes)[:-1]))
-    grid = np.zeros((lanes, steps), np.int64)
-    every = np.arange(lanes)
-    for t in range(steps):
-        a, b, f = model.predict()
-        got = coder.target(every, f.sum(1))
-        kind = (got >= f[:, 0]).astype(np.int64) + (got >= f[:, 0] + f[:, 1])
-        coder.take(every, np.where(kind == 0, 0, np.where(kind == 1, f[:, 0], f[:, 0] + f[:, 1])), f[every, kind])
-        x = np.where(kind == 0, a, b)
+    words = np.frombuffer(record, "<u2", offset=HEAD.size + 4 * lanes)
+    model, coder = Model(lanes), RangeDecoder(words, np.append(0, np.cumsum(sizes)[:-1]) // 2)
+    grid = np.zeros((steps, lanes), np.int32)
+    every = slice(None)
+    for x in grid:
+        a, b, f0, f1, f2 = model.predict()
+        f01 = f0 + f1
+        got = coder.target(every, f01 + f2)
+        is0 = got < f0
+        is1 = (got < f01) & ~is0
+        kind = np.where(is0, 0, 2 - is1)
+        coder.take(every, np.where(is0, 0, np.where(is1, f0, f01)), np.where(is0, f0, np.where(is1, f1, f2)))
+        x[:] = np.where(is0, a, b)
         at = np.flatnonzero(kind == 2)
         if len(at):
-            got = coder.target(at, np.broadcast_to(model.high_cum[-1], at.shape))
-            hi = np.minimum(np.searchsorted(model.high_cum, got, "right") - 1, 255)
-            coder.take(at, model.high_cum[hi], model.high_cum[hi + 1] - model.high_cum[hi])
-            got = coder.target(at, model.low_cum[hi, -1])
-            lo = np.clip(np.searchsorted(model.low_flat, got + (hi << 17), "right") - 1 - hi * 257, 0, 255)
-            coder.take(at, model.low_cum[hi, lo], model.low_cum[hi, lo + 1] - model.low_cum[hi, lo])
+            hi = model.high_of[coder.target(at, int(model.high_cum[-1]))]
+            start = model.high_cum[hi]
+            coder.take(at, start, model.high_cum[hi + 1] - start)
+            got = coder.target(at, model.total0(hi))
+            lo = np.searchsorted(model.low_flat, got + (hi << 17), "right") - 1 - hi * 257
+            coder.take(at, *model.order0(hi, lo))
             x[at] = (hi << 8) | lo
-        model.learn(x, kind, a, b)
-        grid[:, t] = x
-    ids = grid.ravel()[:n].astype("<u4")
+        model.learn(x, kind)
+    ids = grid.T.ravel()[:n].astype("<u4")
     if zlib.crc32(ids) != crc:
         raise ValueError("a record's checksum differs")
     return ids
