@@ -41,8 +41,8 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; a null counts as empty and has none."""
         cut = [self.pattern.findall(t or "") for t in texts]
-        need = set().union(*cut)
-        need.difference_update(self.known)
+        # `difference` walks the texts' chunks; `difference_update` would walk all that is known
+        need = set().union(*cut).difference(self.known)
         if need:
             if len(self.known) + len(need) > MOST_CHUNKS:
                 self.known = {}
