@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.words import SPACE, hashes, per_row, spans, text_slices, windows, words
+from starloom.llm.words import SPACE, hashes, lean, per_row, spans, text_slices, windows, words
 
 SYMBOL = np.zeros(256, bool)
 SYMBOL[list(b"#*$%&|<>")] = True
@@ -103,7 +103,7 @@ def with_statistics(df: DataFrame, text_col: str = "text", prefix: str = "") ->
 
     names = df.columns
     schema = T.StructType([*df.schema.fields, *[T.StructField(prefix + c, T.LongType()) for c in COUNTS]])
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lambda batches: lean(run(batches)), schema)
 
 
 def feature(name: str, prefix: str = "") -> Column:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.words import LOWER, hashes, text_slices, words
+from starloom.llm.words import LOWER, hashes, lean, text_slices, words
 
 ORDER = 3
 DECAY = 0.75
@@ -321,4 +321,4 @@ def score(df: DataFrame, model: Model, text_col: str = "text", score_col: str =
             p = shared.value.probability(k.astype(float))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p, pa.float64())], names=[*names, score_col])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(score_col, T.DoubleType())]))
+    return df.mapInArrow(lambda batches: lean(run(batches)), T.StructType([*df.schema.fields, T.StructField(score_col, T.DoubleType())]))

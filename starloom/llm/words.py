@@ -40,12 +40,15 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
 
     A null counts as the empty text. A text longer than `limit` is a run of its own, whole.
     """
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    if not (pa.types.is_string(column.type) or pa.types.is_large_string(column.type)):
+        column = column.cast(pa.large_string())
+    column = pc.fill_null(column, "") if column.null_count else column
     n = len(column)
     if not n:
         return
     _, places, content = column.buffers()
-    at = np.frombuffer(places, np.int64)[column.offset : column.offset + n + 1]
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    at = np.frombuffer(places, kind)[column.offset : column.offset + n + 1].astype(np.int64)
     data = np.frombuffer(content, np.uint8) if content is not None and content.size else np.zeros(0, np.uint8)
     i = 0
     while i < n:
@@ -54,6 +57,14 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
         i = j
 
 
+def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches; behind the last, the worker gives the memory that it holds in reserve back."""
+    try:
+        yield from batches
+    finally:
+        pa.default_memory_pool().release_unused()
+
+
 def spans(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and rows of the longest stretches without a break; the end of a row breaks too."""
     if not len(data):
