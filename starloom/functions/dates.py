@@ -51,3 +51,24 @@ def parse_timestamp(c: ColumnLike, pattern: str | None = None) -> Column:
     """H3: malformed text is null, not an error."""
     c = as_column(c)
     return F.try_to_timestamp(c, F.lit(pattern)) if pattern else F.try_to_timestamp(c)
+
+
+def utc_timestamp(c: ColumnLike, pattern: str | None = None) -> Column:
+    """H3 whatever the session's zone: text without an offset is UTC; one with an offset is that moment.
+
+    With a `pattern`, which has no offset, a closing `Z` is allowed.
+    """
+    c = as_column(c)
+    if pattern:
+        return parse_timestamp(F.concat(F.regexp_replace(c, "Z$", ""), F.lit("Z")), f"{pattern}XXX")
+    bare = ~F.regexp_like(F.trim(c), F.lit(r"\d[T ].*([Zz]|[A-Za-z/_]{3,}.*|[+-]\d{1,2}(:?\d{2}){0,2})$"))
+    dated = F.regexp_like(F.trim(c), F.lit(r"^\d+-\d+-\d+$"))
+    full = F.when(dated, F.concat(F.trim(c), F.lit("T00:00:00Z"))).when(bare, F.concat(F.trim(c), F.lit("Z")))
+    return F.coalesce(parse_timestamp(full), parse_timestamp(c))
+
+
+def utc_wall_clock(moment: ColumnLike) -> Column:
+    """A timestamp as the zone-free time that clocks show in UTC, whatever the session's zone."""
+    seconds = (F.unix_micros(as_column(moment)).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)

@@ -61,6 +61,8 @@ def collect_state(
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "256")
+    # stores of an ended query are closed at the next round, so that later stages have their memory
+    own.conf.set("spark.sql.streaming.stateStore.maintenanceInterval", "10s")
     own.conf.set("spark.sql.session.timeZone", "UTC")
     own.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     reader = own.readStream.schema(schema).option("maxFileAge", "36500d")

@@ -14,7 +14,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from starloom.functions.dates import parse_timestamp
+from starloom.functions.dates import utc_timestamp
 from starloom.functions.keys import namespaced
 from starloom.functions.numeric import midpoint, positive
 from starloom.functions.rules import REMOTE_OR_TELEWORK_WORDS, REMOTE_WORDS, SKILL_TERMS, tag_terms
@@ -75,7 +75,7 @@ def _flat_fields() -> dict[str, Column]:
         "location_raw": F.coalesce(F.trim("location"), F.lit("Remote")),
         "pay_low": F.col("salary_min").try_cast("double"),
         "pay_high": F.col("salary_max").try_cast("double"),
-        "posted_at": parse_timestamp("date"),
+        "posted_at": utc_timestamp("date"),
         "job_url": F.col("url"),
         "is_remote": F.lit(True),
         "skills": F.col("tags"),
@@ -84,7 +84,6 @@ def _flat_fields() -> dict[str, Column]:
 
 def _struct_fields(terms: list[str] = SKILL_TERMS) -> dict[str, Column]:
     title, location = F.trim("title"), F.trim("location.display_name")
-    created = F.regexp_replace("created", "Z$", "")
     return {
         "posting_id": namespaced("adzuna-", "id"),
         "title": title,
@@ -92,7 +91,7 @@ def _struct_fields(terms: list[str] = SKILL_TERMS) -> dict[str, Column]:
         "location_raw": location,
         "pay_low": F.col("salary_min").try_cast("double"),
         "pay_high": F.col("salary_max").try_cast("double"),
-        "posted_at": parse_timestamp(created, "yyyy-MM-dd'T'HH:mm:ss"),
+        "posted_at": utc_timestamp("created", "yyyy-MM-dd'T'HH:mm:ss"),
         "job_url": F.col("redirect_url"),
         "is_remote": mentions([title, location, "description"], REMOTE_WORDS),
         "skills": tag_terms("description", terms),
@@ -113,7 +112,7 @@ def _nested_fields(terms: list[str] = SKILL_TERMS) -> dict[str, Column]:
         "location_raw": location,
         "pay_low": F.when(yearly, pay["MinimumRange"].try_cast("double")),
         "pay_high": F.when(yearly, pay["MaximumRange"].try_cast("double")),
-        "posted_at": parse_timestamp(inner("PublicationStartDate")),
+        "posted_at": utc_timestamp(inner("PublicationStartDate")),
         "job_url": inner("PositionURI"),
         "is_remote": mentions([title, location, inner("QualificationSummary")], REMOTE_OR_TELEWORK_WORDS),
         "skills": tag_terms(inner("QualificationSummary"), terms),

@@ -5,8 +5,9 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import TimestampType
 
-from starloom.functions.dates import date_key
+from starloom.functions.dates import date_key, utc_wall_clock
 from starloom.functions.keys import hash_key, member
 from starloom.functions.rules import (
     EMPLOYMENT_DEFAULT,
@@ -32,7 +33,9 @@ def stage_postings(raw: DataFrame) -> DataFrame:
     """Typed and trimmed, the newest snapshot per posting; rows without an id are dropped.
 
     Postings that come twice in one snapshot are settled by the newest `posted_at`, then by column order.
+    `posted_at` becomes the time in UTC, whatever the session's zone; one without a zone stays as it is.
     """
+    zoned = isinstance(raw.schema["posted_at"].dataType, TimestampType)
     latest = latest_per_key(
         raw.filter(F.col("posting_id").isNotNull()),
         ["posting_id"],
@@ -46,7 +49,7 @@ def stage_postings(raw: DataFrame) -> DataFrame:
         *[F.col(f"salary_{m}_usd").try_cast(MONEY).alias(f"salary_{m}_usd") for m in ("min", "max", "avg")],
         "is_remote",
         "job_url",
-        F.col("posted_at").cast("timestamp_ntz").alias("posted_at"),
+        (utc_wall_clock("posted_at") if zoned else F.col("posted_at").cast("timestamp_ntz")).alias("posted_at"),
         F.to_date("ingestion_date").alias("ingestion_date"),
     )
 

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
+from starloom.functions.dates import utc_wall_clock
 from starloom.functions.rules import SKILL_TERMS
 from starloom.plans.conform import FLAT, NESTED, STRUCTS, Conformed, conform
 from starloom.queries.registry import Tables, query
@@ -147,15 +148,15 @@ def nested_feed(t: Tables) -> Conformed:
     return conform(raw, NESTED, RUN_DATE)
 
 
-def _without_zone(jobs: DataFrame) -> DataFrame:
-    """Feeds state moments in UTC; SQL here has the same moments without a zone."""
-    return jobs.withColumn("posted_at", F.to_utc_timestamp("posted_at", F.current_timezone()).cast("timestamp_ntz"))
+def _in_utc(jobs: DataFrame) -> DataFrame:
+    """SQL here has the moments of the feeds as zone-free times in UTC."""
+    return jobs.withColumn("posted_at", utc_wall_clock("posted_at"))
 
 
 @query(_FLAT_SQL + _JOBS)
 def conform_flat_jobs(t: Tables) -> DataFrame:
     """L1, B5, B7, G6, H3, H4."""
-    return _without_zone(flat_feed(t).jobs)
+    return _in_utc(flat_feed(t).jobs)
 
 
 @query(_FLAT_SQL + _SKILLS)
@@ -167,7 +168,7 @@ def conform_flat_skills(t: Tables) -> DataFrame:
 @query(_STRUCT_SQL + _JOBS)
 def conform_struct_jobs(t: Tables) -> DataFrame:
     """L2, B2, B6, H3, H5."""
-    return _without_zone(struct_feed(t).jobs)
+    return _in_utc(struct_feed(t).jobs)
 
 
 @query(_STRUCT_SQL + _SKILLS)
@@ -179,7 +180,7 @@ def conform_struct_skills(t: Tables) -> DataFrame:
 @query(_NESTED_SQL + _JOBS)
 def conform_nested_jobs(t: Tables) -> DataFrame:
     """L3, B8, B9."""
-    return _without_zone(nested_feed(t).jobs)
+    return _in_utc(nested_feed(t).jobs)
 
 
 @query(_NESTED_SQL + _SKILLS)

@@ -173,3 +173,31 @@ def test_absent_columns(spark):
     assert got.dtypes == [("a", "int"), ("z", "string"), ("f", "string"), ("g", "string")]
     with pytest.raises(Exception, match="FIELD_NOT_FOUND"):
         df.select(lake.field_or_null(df, "s", "other", "string")).collect()
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_facts_do_not_depend_on_the_zone_of_the_session(spark, zone):
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", zone)
+    flat = own.createDataFrame(
+        [("1", "2026-05-30T02:00:00+00:00"), ("2", "2026-05-30T02:00:00"), ("3", "2026-05-30"), ("4", "2026-05-30T04:00:00+02:00"),
+         ("5", "2026-11-01T05:30:00Z"), ("6", "2026-11-01 06:30:00"), ("7", "soon"), ("8", None)],
+        "id string, date string",
+    ).withColumn("posted_at", utc_timestamp("date"))
+    struct = own.createDataFrame([("1", "2026-05-30T02:00:00Z"), ("2", "2026-05-30T02:00:00"), ("3", "x")], "id string, date string")
+    struct = struct.withColumn("posted_at", utc_timestamp("date", "yyyy-MM-dd'T'HH:mm:ss"))
+    found = []
+    for raw in (flat, struct):
+        raw = raw.select(
+            F.col("id").alias("posting_id"), "posted_at", F.lit(DAY).alias("ingestion_date"), F.lit(True).alias("is_remote"),
+            *[F.lit("a").alias(c) for c in ("source", "title", "company", "location_raw", "job_url")],
+            *[F.lit(1.0).alias(f"salary_{m}_usd") for m in ("min", "max", "avg")],
+        )
+        facts = fact_job_posting(stage_postings(raw)).orderBy("posting_id")
+        found.append([(r.date_key, r.at) for r in facts.select("date_key", F.col("posted_at").cast("string").alias("at")).collect()])
+    two = (20260530, "2026-05-30 02:00:00")
+    assert found[0] == [
+        two, two, (20260530, "2026-05-30 00:00:00"), two,
+        (20261101, "2026-11-01 05:30:00"), (20261101, "2026-11-01 06:30:00"), (None, None), (None, None),
+    ]
+    assert found[1] == [two, two, (None, None)]
