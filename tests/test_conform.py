@@ -4,8 +4,11 @@ import json
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
+from starloom.functions.dates import utc_timestamp
 from starloom.plans.conform import FLAT, NESTED, STRUCTS, conform
+from starloom.plans.marts import fact_job_posting, stage_postings
 from starloom.sources import bronze, lake
 
 DAY = date(2026, 6, 1)
