@@ -218,10 +218,11 @@ def fit_rules(labelled: DataFrame, label_col: str, prefix: str = "", most_rows:
         .orderBy(F.xxhash64(*FEATURES), "label")
         .limit(most_rows)
     )
-    stats = picked.toPandas()
-    x = stats[FEATURES].to_numpy(float)
-    order = np.lexsort((*x.T, stats["label"]))  # rows come in any order
-    return learn_rules(x[order], (stats["label"].to_numpy() == 0)[order], FEATURES, **options)
+    stats = picked.toArrow()  # `most_rows` rows of numbers
+    x = np.column_stack([stats[c].to_numpy().astype(float) for c in FEATURES])
+    label = stats["label"].to_numpy()
+    order = np.lexsort((*x.T, label))  # rows come in any order
+    return learn_rules(x[order], (label == 0)[order], FEATURES, **options)
 
 
 def verdict(rules: list[Rule], prefix: str = "") -> Column:
