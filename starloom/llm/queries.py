@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import dedup, jaccard, lm, packing, pages, quality, rangecoder, segmentation, tokenfiles, toxicity
+from starloom.llm import dedup, jaccard, lm, merkle, packing, pages, quality, rangecoder, segmentation, tokenfiles, toxicity
 from starloom.queries.registry import Query
 
 REGISTRY: dict[str, Query] = {}
@@ -157,3 +157,70 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.with_verdict(counted, rules).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule"
     )
+
+
+_MANIFEST_SQL = r"""
+WITH RECURSIVE bits AS (
+  SELECT i AS byte, i AS v, 0 AS k FROM range(256) t(i)
+  UNION ALL SELECT byte, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM bits WHERE k < 8),
+crc AS (SELECT list(v ORDER BY byte) AS tab FROM bits WHERE k = 8),
+d AS (
+  SELECT *, row_number() OVER () AS r,
+    doc_id IS NOT NULL AND xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295) % 5 = 0 AS hit
+  FROM documents, crc),
+f AS (
+  SELECT *, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+    CASE WHEN hit THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS found
+  FROM d),
+l AS (
+  SELECT r, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(found) || ':' || found, '-')) AS checked
+  FROM f),
+leaves AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i
+  FROM l),
+t AS (
+  SELECT 0 AS lvl, g, i, leaf AS h FROM leaves
+  UNION ALL
+  SELECT max(lvl) + 1, g, i // 16, sha256(string_agg(h, '' ORDER BY i))
+  FROM (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM t) WHERE n > 1 GROUP BY g, i // 16),
+sub AS (SELECT g, max(lvl) AS height, arg_max(h, lvl) AS subroot FROM t GROUP BY g),
+u AS (
+  SELECT 0 AS lvl, g AS i, subroot AS h FROM sub
+  UNION ALL
+  SELECT max(lvl) + 1, i // 16, sha256(string_agg(h, '' ORDER BY i))
+  FROM (SELECT *, count(*) OVER () AS n FROM u) WHERE n > 1 GROUP BY i // 16),
+top AS (SELECT max(lvl) AS height, arg_max(h, lvl) AS root FROM u),
+st AS (
+  SELECT t.lvl, t.g, t.i, coalesce(string_agg(o.h, '' ORDER BY o.i) FILTER (o.i < t.i), '') AS before,
+    coalesce(string_agg(o.h, '' ORDER BY o.i) FILTER (o.i > t.i), '') AS after
+  FROM t JOIN sub ON sub.g = t.g AND t.lvl < sub.height JOIN t o ON o.lvl = t.lvl AND o.g = t.g AND o.i // 16 = t.i // 16 GROUP BY ALL),
+su AS (
+  SELECT u.lvl, u.i, coalesce(string_agg(o.h, '' ORDER BY o.i) FILTER (o.i < u.i), '') AS before,
+    coalesce(string_agg(o.h, '' ORDER BY o.i) FILTER (o.i > u.i), '') AS after
+  FROM u JOIN top ON u.lvl < top.height JOIN u o ON o.lvl = u.lvl AND o.i // 16 = u.i // 16 GROUP BY ALL),
+p AS (
+  SELECT r, g, i, 0 AS lvl, '' AS proof, checked AS acc FROM leaves
+  UNION ALL
+  SELECT p.r, p.g, p.i // 16, p.lvl + 1, proof || before || after, sha256(before || acc || after)
+  FROM p JOIN st ON st.lvl = p.lvl AND st.g = p.g AND st.i = p.i),
+pe AS (SELECT r, g, arg_max(proof, lvl) AS proof, arg_max(acc, lvl) AS acc FROM p GROUP BY r, g),
+q AS (
+  SELECT r, g AS i, 0 AS lvl, proof, acc FROM pe
+  UNION ALL
+  SELECT q.r, q.i // 16, q.lvl + 1, proof || before || after, sha256(before || acc || after)
+  FROM q JOIN su ON su.lvl = q.lvl AND su.i = q.i),
+qe AS (SELECT r, arg_max(proof, lvl) AS proof, arg_max(acc, lvl) AS acc FROM q GROUP BY r)
+SELECT leaves.doc_id, leaves.leaf, sub.subroot, top.root, sha256(qe.proof) AS proof_sha256, qe.acc AS folded_root,
+  qe.acc = top.root AS verified
+FROM leaves JOIN qe ON qe.r = leaves.r JOIN sub ON sub.g = leaves.g, top
+"""
+
+
+@llm_query(_MANIFEST_SQL)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its proof, folded to the root from the row as it is found later."""
+    return merkle.verified_manifest(spark, table(spark, sf_dir, "documents"))
