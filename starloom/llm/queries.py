@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import dedup, jaccard, lm, merkle, packing, pages, quality, rangecoder, segmentation, tokenfiles, toxicity
+from starloom.llm import dedup, jaccard, lm, merkle, negatives, packing, pages, quality, rangecoder, segmentation, tokenfiles, toxicity, vectors
 from starloom.queries.registry import Query
 
 REGISTRY: dict[str, Query] = {}
@@ -159,6 +159,56 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_VECTORS_SQL = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS x,
+    embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+      AND len(list_filter(embedding, lambda c: c <> 0)) > 0 AS usable
+  FROM embeddings),
+w AS (SELECT r, vec_id, x, sqrt(list_inner_product(x, x)) AS n FROM v WHERE usable),
+e AS (
+  SELECT a.r AS a, b.r AS b, b.vec_id AS id FROM w a JOIN w b
+  ON len(a.x) = len(b.x) AND a.r <> b.r AND list_inner_product(a.x, b.x) / (a.n * b.n) >= 0.95),
+c AS (SELECT r AS a, vec_id AS id FROM w UNION SELECT e.a, c.id FROM c JOIN e ON e.b = c.a),
+m AS (SELECT a, min(id) AS id FROM c GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM e GROUP BY a)
+SELECT v.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, CASE WHEN usable THEN m.id ELSE v.vec_id END AS component_id,
+  v.vec_id IS NOT DISTINCT FROM CASE WHEN usable THEN m.id ELSE v.vec_id END AS kept
+FROM v LEFT JOIN m ON m.a = v.r LEFT JOIN n ON n.a = v.r
+"""
+
+
+@llm_query(_VECTORS_SQL)
+def op11_subspace_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of cosine 0.95 or more between all vectors, and their components."""
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"), least=0.95)
+
+
+_NEGATIVES_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (
+  SELECT a.r AS a, a.vec_id AS anchor_id, b.r AS b, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.r <> b.r AND len(a.q) = len(b.q)),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, id, b) <= 5)
+SELECT p.anchor_id, p.id AS positive_id, (row_number() OVER w)::INT AS rank, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.a = p.a AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+WINDOW w AS (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.id, n.b)
+QUALIFY row_number() OVER w <= 10
+"""
+
+
+@llm_query(_NEGATIVES_SQL)
+def op12_threshold_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, against all rows; every seventh has the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), "id % 100 = 0", label)
+
+
 _MANIFEST_SQL = r"""
 WITH RECURSIVE bits AS (
   SELECT i AS byte, i AS v, 0 AS k FROM range(256) t(i)
