@@ -5,10 +5,10 @@ more than one node is left, every `arity` consecutive ones become the digest of
 shorter at the end. What is left is the source's subroot; the subroots in the order of the sources make a tree of
 the same kind, whose end is the root.
 
-Each level is one equijoin of its nodes with the computed indices of their siblings (`index XOR 1` for binary
-trees, the places of the run at all slot offsets otherwise). A node thereby gets what stands before and behind it
-in its run, which is its part of every proof below it, and the nodes in slot 0 emit the parents. Proofs are then
-handed down from the root, each level to its children, and folded per leaf by one expression.
+Each level is one equijoin of its nodes with computed sibling indices: a node in slot 0 knows where its siblings are
+(`index XOR 1` for binary trees, its index and all slot offsets otherwise), meets them there, and emits the parent,
+with the run that it stands for. Proofs are then handed down from the root: a child's proof is its parent's run, with
+the slot that the child has in it, and its parent's proof. One expression folds it per leaf.
 
 Texts are hashed where they are read; only digests move. Rows are numbered after a range partitioning by source,
 id and digest, stored once, so that a source with most of the rows is spread over all tasks. Each level is written
@@ -18,6 +18,7 @@ to the shared folder: a lost executor costs a task of one level.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -45,9 +46,9 @@ def hex_text(digests: Column) -> Column:
 class Manifest:
     """`leaves`: gid, idx (place in the source), n (leaves of the source), leaf, and what was carried along.
 
-    `subroots`: gid (place of the source, from 0), height, subroot. `levels` and `top`: the nodes of each level of
-    the sources' trees and of the tree over them, with before, after (digests of the siblings on either side, end to
-    end). `root` is None for no rows.
+    `subroots`: gid (place of the source, from 0), subroot. `levels` and `top`: the nodes of each level above the leaves
+    of the sources' trees, and of the tree over the sources: gid, idx, n (nodes of the level in that tree), run (the
+    digests below the node, end to end) and h. `root` is None for no rows.
     """
 
     leaves: DataFrame
@@ -91,51 +92,34 @@ def number_rows(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
 
 
 def _level(nodes: DataFrame, arity: int) -> DataFrame:
-    """gid, idx, n, before, after, and parent (in slot 0 only) of every node in a tree of more than one.
-
-    `nodes` has gid, idx, n and h.
-    """
-    slot = F.col("idx") % arity
+    """gid, idx, n, run and h of the parents of `nodes` (gid, idx, n, h)."""
     if arity == 2:
         siblings = F.array(F.col("idx"), F.col("idx").bitwiseXOR(F.lit(1)))
     else:
-        offsets = F.array(*[F.lit(o) for o in range(arity)])
-        siblings = F.transform(offsets, lambda o: F.col("idx") - slot + (slot + o) % arity)
-    wanted = nodes.select("gid", "idx", "n", F.explode(siblings).alias("sibling")).where("sibling < n")
+        siblings = F.transform(F.array(*[F.lit(o) for o in range(arity)]), lambda o: F.col("idx") + o)
+    first = nodes.where(F.col("idx") % arity == 0).select("gid", "idx", "n", F.explode(siblings).alias("sibling"))
     other = nodes.select(F.col("gid").alias("g"), F.col("idx").alias("i"), "h")
-    met = wanted.join(other, (F.col("gid") == F.col("g")) & (F.col("sibling") == F.col("i")))
+    met = first.where("sibling < n").join(other, (F.col("gid") == F.col("g")) & (F.col("sibling") == F.col("i")))
     runs = met.groupBy("gid", "idx", "n").agg(F.sort_array(F.collect_list(F.struct("sibling", "h"))).alias("run"))
-
-    def joined(keep) -> Column:
-        nothing = F.lit(b"")
-        return F.aggregate(F.filter("run", keep), nothing, lambda a, x: F.concat(a, x["h"]))
-
-    sides = runs.select(
+    joined = runs.select(
         "gid",
-        "idx",
-        "n",
-        joined(lambda x: x["sibling"] < F.col("idx")).alias("before"),
-        joined(lambda x: x["sibling"] > F.col("idx")).alias("after"),
-        F.when(slot == 0, joined(lambda x: x["sibling"] >= F.col("idx"))).alias("all"),
+        F.floor(F.col("idx") / arity).alias("idx"),
+        F.ceil(F.col("n") / arity).alias("n"),
+        F.aggregate("run", F.lit(b""), lambda a, x: F.concat(a, x["h"])).alias("run"),
     )
-    return sides.withColumn("parent", F.unhex(F.sha2(hex_text(F.col("all")), 256))).drop("all")
+    return joined.withColumn("h", F.unhex(F.sha2(hex_text(F.col("run")), 256)))
 
 
 def _climb(nodes: DataFrame, arity: int, label: str) -> tuple[list[DataFrame], DataFrame]:
-    """All levels above `nodes` (gid, idx, n, h), and what remains of each tree: gid, height, subroot."""
+    """All levels above `nodes` (gid, idx, n, h), and what remains of each tree: gid, subroot."""
     levels: list[DataFrame] = []
-    ends = None
     most = nodes.agg(F.max("n")).first()[0] or 0
-    while True:
-        end = nodes.where("n = 1").select("gid", F.lit(len(levels)).alias("height"), F.col("h").alias("subroot"))
-        ends = end if ends is None else ends.union(end)
-        if most <= 1:
-            return levels, ends
-        level = _written(_level(nodes.where("n > 1"), arity), label)
-        levels.append(level)
-        up = level.where("parent is not null")
-        nodes = up.select("gid", F.floor(F.col("idx") / arity).alias("idx"), F.ceil(F.col("n") / arity).alias("n"), F.col("parent").alias("h"))
+    ends = [nodes]
+    while most > 1:
+        levels.append(_written(_level(ends[-1].where("n > 1"), arity), label))
+        ends.append(levels[-1].select("gid", "idx", "n", "h"))
         most = -(-most // arity)
+    return levels, reduce(DataFrame.unionAll, [x.where("n = 1").select("gid", F.col("h").alias("subroot")) for x in ends])
 
 
 def build(rows: DataFrame, group: str, order: str, leaf: str, arity: int = ARITY) -> Manifest:
@@ -150,7 +134,7 @@ def build(rows: DataFrame, group: str, order: str, leaf: str, arity: int = ARITY
     leaves = _written(number_rows(rows, group, [order, leaf]), "merkle-leaves")
     nodes = leaves.select("gid", "idx", "n", F.col(leaf).alias("h"))
     levels, ends = _climb(nodes, arity, "merkle-level")
-    subroots = _written(ends, "merkle-subroots")
+    subroots = _written(ends, "merkle-subroots")  # a row for each source
     sources = subroots.count()
     nodes = subroots.select(F.lit(0).cast("long").alias("gid"), F.col("gid").alias("idx"), F.lit(sources).cast("long").alias("n"), F.col("subroot").alias("h"))
     top, last = _climb(nodes, arity, "merkle-top")
@@ -158,51 +142,61 @@ def build(rows: DataFrame, group: str, order: str, leaf: str, arity: int = ARITY
     return Manifest(leaves, subroots, levels, top, found[0] if found else None)
 
 
-def _handed_down(parents: DataFrame, level: DataFrame, arity: int) -> DataFrame:
-    """gid, idx and path of the nodes of a level, from the paths of their parents (gid, idx, path)."""
-    above = parents.select(F.col("gid").alias("g"), F.col("idx").alias("i"), F.col("path").alias("rest"))
-    met = level.join(above, (F.col("gid") == F.col("g")) & (F.floor(F.col("idx") / arity) == F.col("i")))
-    own = F.array(F.struct("before", "after"))
-    return met.select("gid", "idx", F.concat(own, F.col("rest")).alias("path"))
+def _handed_down(nodes: DataFrame, parents: DataFrame, arity: int) -> DataFrame:
+    """`nodes` with path: the run and the slot in it, and so on up, from their parents (gid, idx, run, path)."""
+    above = parents.select(F.col("gid").alias("g"), F.col("idx").alias("i"), F.col("run").alias("above"), F.col("path").alias("rest"))
+    met = nodes.join(above, (F.col("gid") == F.col("g")) & (F.floor(F.col("idx") / arity) == F.col("i")))
+    own = F.struct(F.col("above").alias("run"), (F.col("idx") % arity).cast("int").alias("slot"))
+    return met.withColumn("path", F.concat(F.array(own), F.col("rest"))).drop("g", "i", "above", "rest")
 
 
 def with_paths(manifest: Manifest, arity: int = ARITY) -> DataFrame:
-    """The leaves with subroot (hex) and path: for each level up to the root, what stands before and behind."""
-    none = F.array().cast("array<struct<before:binary,after:binary>>")
+    """The leaves with subroot (hex) and path: the run and the slot in it, for each level up to the root."""
+    none = F.array().cast("array<struct<run:binary,slot:int>>")
     if manifest.root is None:
         return manifest.leaves.withColumn("subroot", F.lit(None).cast("string")).withColumn("path", none)
-    above = manifest.leaves.sparkSession.range(1).select(F.col("id").alias("gid"), F.col("id").alias("idx"), none.alias("path"))
+    sources = manifest.subroots.select(F.lit(0).cast("long").alias("gid"), F.col("gid").alias("idx"))
+    parents = None
     for level in reversed(manifest.top):
-        above = _handed_down(above, level, arity)
-    ends = above.select(F.col("idx").alias("source"), "path")
-    ends = _written(manifest.subroots.join(ends, F.col("gid") == F.col("source")).select("gid", "height", "subroot", "path"), "merkle-ends")
-
-    def with_ends(found: DataFrame | None, height: int) -> DataFrame:
-        own = ends.where(F.col("height") == height).select("gid", F.lit(0).cast("long").alias("idx"), "path")
-        return own if found is None else found.unionByName(own)
-
-    paths = with_ends(None, len(manifest.levels))
-    for k in range(len(manifest.levels) - 1, -1, -1):
-        paths = with_ends(_handed_down(paths, manifest.levels[k], arity), k)
-        if k > 1:  # the lower levels are long, and read once
-            paths = _written(paths, "merkle-paths")
-    paths = paths.select(F.col("gid").alias("g"), F.col("idx").alias("i"), "path")
-    leaves = manifest.leaves.join(paths, (F.col("gid") == F.col("g")) & (F.col("idx") == F.col("i"))).drop("g", "i")
-    subroot = ends.select(F.col("gid").alias("g"), hex_text(F.col("subroot")).alias("subroot"))
+        parents = level.withColumn("path", none) if parents is None else _handed_down(level, parents, arity)
+    ends = sources.withColumn("path", none) if parents is None else _handed_down(sources, parents, arity)
+    ends = _written(ends.select(F.col("idx").alias("tree"), F.col("path").alias("up")), "merkle-ends")
+
+    def located(nodes: DataFrame, parents: DataFrame | None) -> DataFrame:
+        """`nodes` with path; those alone in their level are the ends of their trees."""
+        last = nodes.where("n = 1").join(ends, F.col("gid") == F.col("tree")).withColumnRenamed("up", "path").drop("tree")
+        return last if parents is None else last.unionByName(_handed_down(nodes.where("n > 1"), parents, arity))
+
+    parents = None
+    for k, level in reversed([*enumerate(manifest.levels)]):
+        parents = located(level.drop("h"), parents)
+        if k:  # the lowest is read once
+            parents = _written(parents, "merkle-paths")
+    leaves = located(manifest.leaves, parents)
+    subroot = manifest.subroots.select(F.col("gid").alias("g"), hex_text(F.col("subroot")).alias("subroot"))
     return leaves.join(subroot, F.col("gid") == F.col("g")).drop("g")
 
 
+def _sides(x: Column) -> tuple[Column, Column]:
+    """What stands before and behind a slot of a run, as hex text."""
+    before = F.substring(x["run"], F.lit(1), x["slot"] * 32)
+    after = F.substring(x["run"], x["slot"] * 32 + 33, F.octet_length(x["run"]))
+    return hex_text(before), hex_text(after)
+
+
 def fold(leaf: Column, path: Column) -> Column:
     """The root (hex) that a leaf (hex) and the siblings on its path give."""
-    return F.aggregate(
-        path, leaf, lambda acc, x: F.sha2(F.concat(hex_text(x["before"]), acc, hex_text(x["after"])), 256)
-    )
+
+    def up(acc: Column, x: Column) -> Column:
+        before, after = _sides(x)
+        return F.sha2(F.concat(before, acc, after), 256)
+
+    return F.aggregate(path, leaf, up)
 
 
 def proof_digest(path: Column) -> Column:
     """SHA-256 of all siblings on the path as hex text, level by level, left to right."""
-    joined = F.aggregate(path, F.lit(b""), lambda acc, x: F.concat(acc, x["before"], x["after"]))
-    return F.sha2(hex_text(joined), 256)
+    return F.sha2(F.array_join(F.transform(path, lambda x: F.concat(*_sides(x))), ""), 256)
 
 
 def document_leaves(docs: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:

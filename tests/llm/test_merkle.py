@@ -107,6 +107,8 @@ def test_numbering(spark):
 
 
 def test_sides_of_a_proof_keep_their_order(spark):
-    leaf, path = F.lit("a" * 64), F.array(F.struct(F.lit(b"\x01").alias("before"), F.lit(b"\x02").alias("after")))
-    got = spark.range(1).select(merkle.fold(leaf, path).alias("f"), merkle.proof_digest(path).alias("p")).first()
-    assert (got.f, got.p) == (sha("01" + "a" * 64 + "02"), sha("0102"))
+    runs = [bytes([k]) * 32 for k in range(3)]
+    path = F.array(F.struct(F.lit(b"".join(runs)).alias("run"), F.lit(1).alias("slot")), F.struct(F.lit(runs[0]).alias("run"), F.lit(0).alias("slot")))
+    got = spark.range(1).select(merkle.fold(F.lit("a" * 64), path).alias("f"), merkle.proof_digest(path).alias("p")).first()
+    before, after = runs[0].hex(), runs[2].hex()
+    assert (got.f, got.p) == (sha(sha(before + "a" * 64 + after)), sha(before + after))
