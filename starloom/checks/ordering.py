@@ -2,7 +2,7 @@
 
 Equal rows are counted first, so a value that fills much of the table is one row when neighbours are
 looked up; its copies come back at the end, if they are violations. Neighbours come from
-`operators.ordered`, which splits groups that are too large for one task.
+`operators.ordered`, which looks them up slice by slice.
 """
 
 from __future__ import annotations
@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 from starloom.checks.outcome import check
 from starloom.functions.dates import add_units
 from starloom.functions.text import ColumnLike, as_column, slug
-from starloom.operators.columns import quoted
-from starloom.operators.ordered import GROUP_ROWS, repeat_rows, with_neighbour
+from starloom.operators.columns import fresh_name, quoted
+from starloom.operators.ordered import SLICE_BITS, repeat_rows, with_neighbour
 
 # Comparison and its name in the result columns.
 GAP_RULES = {
@@ -31,23 +31,22 @@ def sequential_values(
     interval: int = 1,
     datepart: str | None = None,
     group_by: list[str] = (),
-    group_rows: int = GROUP_ROWS,
+    slice_bits: int = SLICE_BITS,
 ):
     """Rows whose value is not the previous one plus the interval; first rows and nulls pass."""
     keys = list(group_by)
     previous = f"previous_{slug(column)}"
     rows = df.select(*map(quoted, keys), quoted(column)).filter(F.col(quoted(column)).isNotNull())
-    values = rows.groupBy(*map(quoted, [*keys, column])).agg(F.count(F.lit(1)).alias("_n"))
-    placed = with_neighbour(
-        values, keys, [column], "_before", forward=False, group_rows=group_rows, sized_by=rows
-    )
+    n, near, times = (fresh_name(rows, c) for c in ("_n", "_before", "_times"))
+    values = rows.groupBy(*map(quoted, [*keys, column])).agg(F.count(F.lit(1)).alias(n))
+    placed = with_neighbour(values, keys, [column], near, forward=False, slice_bits=slice_bits)
     # Of n equal rows one follows the value before, and n - 1 follow their own value.
     followed = placed.select(
         *map(quoted, [*keys, column]),
         F.inline(
             F.array(
-                F.struct(F.col("_before.o0").alias(previous), F.lit(1).cast("bigint").alias("_times")),
-                F.struct(F.col(quoted(column)).alias(previous), (F.col("_n") - 1).alias("_times")),
+                F.struct(F.col(near)["o0"].alias(previous), F.lit(1).cast("bigint").alias(times)),
+                F.struct(F.col(quoted(column)).alias(previous), (F.col(n) - 1).alias(times)),
             )
         ),
     )
@@ -56,7 +55,7 @@ def sequential_values(
         due = value.cast("timestamp_ntz") == add_units(before, datepart, interval).cast("timestamp_ntz")
     else:
         due = value == before + F.lit(interval)
-    return repeat_rows(followed.filter(~due), "_times")
+    return repeat_rows(followed.filter(~due), times)
 
 
 @check
@@ -67,7 +66,7 @@ def mutually_exclusive_ranges(
     partition_by: ColumnLike | None = None,
     gaps: str = "allowed",
     zero_length_range_allowed: bool = False,
-    group_rows: int = GROUP_ROWS,
+    slice_bits: int = SLICE_BITS,
 ):
     """Ranges with bounds in the wrong order, or that do not fit the next range.
 
@@ -91,9 +90,7 @@ def mutually_exclusive_ranges(
     )
     columns = [*keys, "lower_bound", "upper_bound"]
     ranges = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
-    placed = with_neighbour(
-        ranges, keys, ["lower_bound", "upper_bound"], "_next", group_rows=group_rows, sized_by=rows
-    )
+    placed = with_neighbour(ranges, keys, ["lower_bound", "upper_bound"], "_next", slice_bits=slice_bits)
     # Of n equal ranges n - 1 are followed by an equal one.
     followed = placed.select(
         *columns,

@@ -256,7 +256,7 @@ def chk_sequential_values(t: Tables) -> DataFrame:
 )
 def chk_sequential_values_ungrouped(t: Tables) -> DataFrame:
     """K19 over the whole table as one sequence, spread over slices."""
-    return k.sequential_values(t.orders, "o_custkey", group_rows=0).violations
+    return k.sequential_values(t.orders, "o_custkey").violations
 
 
 @query(
@@ -296,7 +296,6 @@ def chk_exclusive_ranges_sliced(t: Tables) -> DataFrame:
         "CASE WHEN l_linenumber <> 7 THEN l_shipdate + l_linenumber * INTERVAL 1 DAY END",
         gaps="not_allowed",
         zero_length_range_allowed=True,
-        group_rows=0,
     ).violations
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from starloom.functions.keys import hash_key
 from starloom.operators.compare import two_way_except
 from starloom.operators.dedupe import deduplicate, distinct_pairs, drop_duplicate_keys, natural_join
-from starloom.operators.ordered import with_neighbour
+from starloom.operators.ordered import with_neighbour, with_neighbours
 from starloom.operators.reshape import columnwise, pivot, union_relations, unpivot
 from starloom.operators.spine import date_spine, number_series, with_days
 from starloom.operators.values import column_values, single_value, value_list
@@ -322,10 +322,9 @@ def two_way_difference(t: Tables) -> DataFrame:
     """
 )
 def neighbours(t: Tables) -> DataFrame:
-    """Next and previous event time per user; the largest group is counted before a window is used."""
+    """Next and previous event time per user, both from one pass over the slices."""
     times = t.events.select("user_id", "ts").distinct()
-    ahead = with_neighbour(times, ["user_id"], ["ts"], "_next", sized_by=t.events)
-    both = with_neighbour(ahead, ["user_id"], ["ts"], "_previous", forward=False, sized_by=t.events)
+    both = with_neighbours(times, ["user_id"], ["ts"], following="_next", previous="_previous")
     return both.select(
         "user_id",
         "ts",
@@ -342,9 +341,9 @@ def neighbours(t: Tables) -> DataFrame:
     """
 )
 def neighbours_sliced(t: Tables) -> DataFrame:
-    """E3 over the whole table as one group, spread over range slices with edges carried across."""
+    """E3 over the whole table as one group: slices of a second, of a day, and their edges."""
     times = t.events.select("ts").distinct()
-    ahead = with_neighbour(times, [], ["ts"], "_next", group_rows=0)
+    ahead = with_neighbour(times, [], ["ts"], "_next")
     return ahead.select("ts", F.col("_next.o0").alias("next_ts"))
 
 

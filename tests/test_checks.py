@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom import checks as k
+from starloom.operators.ordered import SLICE_BITS
 
 
 def failures(check, **kwargs):
@@ -158,15 +159,15 @@ def test_accepted_range(make):
     assert failures(k.accepted_range(df, "id")) == (0, "pass")
 
 
-@pytest.mark.parametrize("group_rows", [0, 10_000])
-def test_sequential_values(make, rows, group_rows):
+@pytest.mark.parametrize("slice_bits", [7, SLICE_BITS])
+def test_sequential_values(make, rows, slice_bits):
     df = make([("a", 1), ("a", 2), ("a", 4), ("b", 4), ("b", 4), ("b", 4), ("b", None)], "g string, my_value int")
-    found = k.sequential_values(df, "my_value", group_by=["g"], group_rows=group_rows)
+    found = k.sequential_values(df, "my_value", group_by=["g"], slice_bits=slice_bits)
     assert found.violations.columns == ["g", "my_value", "previous_my_value"]
     assert rows(found.violations) == [("a", 4, 2), ("b", 4, 4), ("b", 4, 4)]
-    assert failures(k.sequential_values(df, "my_value", 2, where="my_value IN (2, 4) AND g = 'a'", group_rows=group_rows)) == (0, "pass")
+    assert failures(k.sequential_values(df, "my_value", 2, where="my_value IN (2, 4) AND g = 'a'", slice_bits=slice_bits)) == (0, "pass")
     hours = make([(datetime(2026, 1, 1, h),) for h in (0, 1, 2, 5)], "My_timestamp timestamp_ntz")
-    found = k.sequential_values(hours, "My_timestamp", 1, "hour", group_rows=group_rows)
+    found = k.sequential_values(hours, "My_timestamp", 1, "hour", slice_bits=slice_bits)
     assert rows(found.violations) == [(datetime(2026, 1, 1, 5), datetime(2026, 1, 1, 2))]
 
 
@@ -177,7 +178,7 @@ def day(n):
     return date(2026, 1, n)
 
 
-@pytest.mark.parametrize("group_rows", [0, 10_000])
+@pytest.mark.parametrize("slice_bits", [7, SLICE_BITS])
 @pytest.mark.parametrize(
     ("gaps", "data", "bad"),
     [
@@ -195,9 +196,9 @@ def day(n):
         ("allowed", [(1, 1, 3), (1, None, 5)], 2),
     ],
 )
-def test_mutually_exclusive_ranges(make, group_rows, gaps, data, bad):
+def test_mutually_exclusive_ranges(make, slice_bits, gaps, data, bad):
     df = make([(s, a and day(a), b and day(b)) for s, a, b in data], RANGES)
-    found = k.mutually_exclusive_ranges(df, "valid_from", "valid_to", "sub", gaps, group_rows=group_rows)
+    found = k.mutually_exclusive_ranges(df, "valid_from", "valid_to", "sub", gaps, slice_bits=slice_bits)
     assert failures(found)[0] == bad
 
 

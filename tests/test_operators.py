@@ -1,7 +1,8 @@
 """Frame operators on hand-made rows."""
 
 import random
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import Window, functions as F
@@ -181,21 +182,68 @@ def test_sliced_neighbours_equal_the_plain_window(spark, rows, forward, group):
     df = spark.createDataFrame(list(data), "g string, x int, y int")
     if not group:
         df = df.select("x", "y").distinct()
-    sliced = ordered.with_neighbour(df, group, ["x", "y"], "near", forward, group_rows=0)
     step = F.lead if forward else F.lag
     window = Window.partitionBy(*group).orderBy(F.asc_nulls_last("x"), F.asc_nulls_last("y"))
     plain = df.withColumn("near", step(F.struct(F.col("x").alias("o0"), F.col("y").alias("o1"))).over(window))
-    assert rows(sliced.select(*plain.columns)) == rows(plain)
-    assert rows(ordered.with_neighbour(df, group, ["x", "y"], "near", forward)) == rows(plain)
-
-
-def test_sliced_neighbours_spread_a_single_group(spark):
-    df = spark.range(1000).withColumn("g", F.lit(1))
-    out = ordered.with_neighbour(df, ["g"], ["id"], "near", group_rows=10)
+    for bits in (8, ordered.SLICE_BITS):
+        assert rows(ordered.with_neighbour(df, group, ["x", "y"], "near", forward, bits)) == rows(plain)
+
+
+REALS = [0.0, -0.0, 1.0, -1.0, 5e-324, -5e-324, 1e-300, 1.7e308, float("inf"), float("-inf"), float("nan"), 2.0**-31, 1 + 2.0**-52]
+KINDS = {
+    "tinyint": lambda r: r.randint(-128, 127),
+    "smallint": lambda r: r.randint(-32768, 32767),
+    "bigint": lambda r: r.choice([r.randint(-50, 50), r.randint(-(1 << 63), (1 << 63) - 1)]),
+    "double": lambda r: r.choice([*REALS, r.uniform(-9, 9), r.uniform(-1e9, 1e9), r.gauss(0, 1) * 10 ** r.randint(-300, 300)]),
+    "float": lambda r: r.choice([0.0, 1.5, -2.5, float("nan"), float("inf"), r.uniform(-9, 9)]),
+    "decimal(12,3)": lambda r: Decimal(r.randint(-(10**8), 10**8)).scaleb(-3),
+    "decimal(30,9)": lambda r: Decimal(r.randint(-(10**25), 10**25)).scaleb(-9),
+    "date": lambda r: date.fromordinal(r.randint(1, 3_650_000)),
+    "timestamp": lambda r: datetime(2024, 3, 30, 22) + timedelta(microseconds=r.choice([r.randint(0, 10**7), r.randint(0, 10**13)])),
+    "timestamp_ntz": lambda r: datetime(1969, 12, 31, 23) + timedelta(microseconds=r.randint(0, 10**11)),
+    "string": lambda r: r.choice(["", "a", "é", "\U0001f600", "ab"]) * r.randint(0, 9) + r.choice("abé"),
+    "binary": lambda r: bytes(r.choices(range(256), k=r.randint(0, 5))),
+    "boolean": lambda r: r.random() < 0.5,
+}
+
+
+@pytest.mark.parametrize("kind", list(KINDS))
+def test_slices_of_every_type_keep_the_order(spark, kind):
+    rng = random.Random(kind)
+    data = [("hot" if rng.random() < 0.7 else rng.choice(["a", None]), None if rng.random() < 0.05 else KINDS[kind](rng)) for _ in range(500)]
+    df = spark.createDataFrame(data, f"g string, `_after` {kind}").distinct()
+    both = ordered.with_neighbours(df, ["g"], ["_after"], following="n", previous="p", slice_bits=9)
+    window = Window.partitionBy("g").orderBy(F.asc_nulls_last("_after"))
+    here = F.struct(F.col("_after").alias("o0"))
+    plain = df.select("g", "_after", F.lead(here).over(window).alias("n"), F.lag(here).over(window).alias("p"))
+    assert both.columns == plain.columns
+    assert both.exceptAll(plain).isEmpty() and plain.exceptAll(both).isEmpty()
+
+
+def test_nothing_runs_while_neighbours_are_planned(spark):
+    df = spark.range(5000).withColumn("g", F.lit(1))
+    spark.sparkContext.setJobGroup("planning", "neighbours")
+    out = ordered.with_neighbour(df, ["g"], ["id"], "near", slice_bits=4)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    spark.sparkContext.setJobGroup("rest", "rest")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SinglePartition" not in plan
     assert out.filter("near.o0 <> id + 1").isEmpty()
     assert out.filter("near IS NULL").count() == 1
 
 
+def test_a_slice_holds_a_bounded_part_of_one_group(spark):
+    """With 2 to the 5th values a slice, no window of any step sees more than 128 of 3,000 rows that matter."""
+    df = spark.range(3000).select((F.col("id") * 7).cast("int").alias("x"), F.lit(1).alias("g"))
+    levels = ordered.slice_levels(df, ["x"], 5)
+    assert len(levels) > 3
+    edge = df
+    for cuts in reversed(levels):
+        window = Window.partitionBy("g", *cuts).orderBy("x")
+        assert edge.groupBy("g", *cuts).count().agg(F.max("count")).first()[0] <= 128
+        edge = edge.withColumn("e", F.lead("x").over(window).isNull() | F.lag("x").over(window).isNull()).filter("e").drop("e")
+
+
 def test_repeat_rows(spark, rows, monkeypatch):
     monkeypatch.setattr(ordered, "COPIES_PER_BLOCK", 10)
     df = spark.createDataFrame([("a", 0), ("b", 1), ("c", 37), ("d", 20)], "k string, n bigint")

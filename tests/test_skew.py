@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from starloom import checks as k
 from starloom.operators import dedupe
+from starloom.operators.ordered import SLICE_BITS
 
 
 def key(v):
@@ -26,9 +27,9 @@ def hot_rows(seed, n=400):
     return rows
 
 
-@pytest.mark.parametrize("group_rows", [0, 50, 10_000])
+@pytest.mark.parametrize("slice_bits", [4, 11, SLICE_BITS])
 @pytest.mark.parametrize("grouped", [True, False])
-def test_sequential_values_brute_force(spark, group_rows, grouped):
+def test_sequential_values_brute_force(spark, slice_bits, grouped):
     data = hot_rows(1)
     groups = defaultdict(list)
     for g, low, _ in data:
@@ -41,14 +42,14 @@ def test_sequential_values_brute_force(spark, group_rows, grouped):
         if b != a + 3
     )
     df = spark.createDataFrame(data, "g string, low int, high int")
-    found = k.sequential_values(df, "low", 3, group_by=["g"] if grouped else [], group_rows=group_rows)
+    found = k.sequential_values(df, "low", 3, group_by=["g"] if grouped else [], slice_bits=slice_bits)
     assert Counter(map(tuple, found.violations.collect())) == want
 
 
-@pytest.mark.parametrize("group_rows", [0, 50, 10_000])
+@pytest.mark.parametrize("slice_bits", [4, 11, SLICE_BITS])
 @pytest.mark.parametrize("grouped", [True, False])
 @pytest.mark.parametrize("gaps", ["allowed", "not_allowed", "required"])
-def test_ranges_brute_force(spark, group_rows, grouped, gaps):
+def test_ranges_brute_force(spark, slice_bits, grouped, gaps):
     data = hot_rows(2)
     groups = defaultdict(list)
     for g, low, high in data:
@@ -65,7 +66,7 @@ def test_ranges_brute_force(spark, group_rows, grouped, gaps):
             if not (ordered and fitting):
                 want[((g,) if grouped else ()) + (low, high, following, last, ordered, fitting)] += 1
     df = spark.createDataFrame(data, "g string, low int, high int")
-    found = k.mutually_exclusive_ranges(df, "low", "high", "g" if grouped else None, gaps, group_rows=group_rows)
+    found = k.mutually_exclusive_ranges(df, "low", "high", "g" if grouped else None, gaps, slice_bits=slice_bits)
     assert Counter(map(tuple, found.violations.collect())) == want
 
 
