@@ -12,6 +12,7 @@ from starloom.checks.groups import (
 )
 from starloom.checks.ordering import mutually_exclusive_ranges, sequential_values
 from starloom.checks.outcome import Check, verdicts
+from starloom.checks.planner import planned_verdicts
 from starloom.checks.relations import (
     cardinality_equality,
     equality,
@@ -47,6 +48,7 @@ __all__ = [
     "not_empty_string",
     "not_null",
     "not_null_proportion",
+    "planned_verdicts",
     "recency",
     "relationships",
     "relationships_where",

@@ -29,8 +29,6 @@ class Check:
         The thresholds are comparisons with the failure count, such as `> 10`; `error_if="<1"` turns a
         check around. With severity `warn` the error threshold is not looked at.
         """
-        if severity not in ("error", "warn"):
-            raise ValueError(f"severity must be 'error' or 'warn', got {severity!r}")
         count = F.count(F.lit(1)) if self.failures is None else self.failures
         counted = self.violations.agg(F.coalesce(count, F.lit(0)).cast("bigint").alias("failures"))
         return judge(counted, F.lit(label or self.name), error_if, warn_if, severity)
@@ -44,11 +42,17 @@ def judge(
     severity: str = "error",
 ) -> DataFrame:
     """`check, failures, status` for rows that hold a failure count."""
+    return counted.select(name.alias("check"), "failures", status_of(error_if, warn_if, severity).alias("status"))
+
+
+def status_of(error_if: str = "!= 0", warn_if: str = "!= 0", severity: str = "error") -> Column:
+    """The status of a row's `failures`; see `Check.verdict`."""
+    if severity not in ("error", "warn"):
+        raise ValueError(f"severity must be 'error' or 'warn', got {severity!r}")
     warned = F.when(F.expr(f"failures {warn_if}"), F.lit("warn")).otherwise(F.lit("pass"))
-    status = warned
-    if severity == "error":
-        status = F.when(F.expr(f"failures {error_if}"), F.lit("error")).otherwise(warned)
-    return counted.select(name.alias("check"), "failures", status.alias("status"))
+    if severity == "warn":
+        return warned
+    return F.when(F.expr(f"failures {error_if}"), F.lit("error")).otherwise(warned)
 
 
 def verdicts(rows: list[DataFrame]) -> DataFrame:

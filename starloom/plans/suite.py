@@ -2,88 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from starloom.checks import expect_table_columns_to_match_set, unique, verdicts
-from starloom.checks.outcome import judge
+from starloom.checks.planner import Rule, has_columns, planned_verdicts, refers, required, unique_key
 from starloom.schemas import FOREIGN_KEYS, MARTS, PRIMARY_KEYS
 
 STAGING_REQUIRED = {"stg_jobs": ["posting_id"], "stg_job_skills": ["posting_id", "skill"]}
 
 
-def required_fields(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
-    """K1 for several columns of a table in one scan."""
-    counted = df.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(f"not_null {table}.{c}").alias("name"),
-                    F.count_if(F.col(c).isNull()).alias("failures"),
-                )
-                for c in columns
-            ]
-        ).alias("_all")
-    ).select(F.inline("_all"))
-    return judge(counted, F.col("name"))
-
-
-def foreign_keys(tables: dict[str, DataFrame], child: str, keys: list[tuple[str, str, str, str]]) -> DataFrame:
-    """K3 for all foreign keys of a table in one scan.
-
-    The keys of each row are unfolded and counted before the shuffle, so each distinct key is one row
-    with its count when it meets the members; failures are rows, as in the single check.
-    """
-    pairs = [
-        F.struct(F.lit(i).alias("path"), F.col(column).cast("string").alias("key"))
-        for i, (_, column, _, _) in enumerate(keys)
-    ]
-    used = (
-        tables[child]
-        .select(F.inline(F.array(*pairs)))
-        .filter("key IS NOT NULL")
-        .groupBy("path", "key")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    members = None
-    for i, (_, _, parent, field) in enumerate(keys):
-        one = (
-            tables[parent]
-            .select(F.lit(i).alias("path"), F.col(field).cast("string").alias("key"))
-            .filter("key IS NOT NULL")
-        )
-        members = one if members is None else members.unionAll(one)
-    orphans = used.join(members, ["path", "key"], "left_anti")
-    # Every path has a verdict, also one without orphans.
-    names = [F.lit(f"relationships {c}.{col} -> {p}.{f}") for c, col, p, f in keys]
-    sums: list[Column] = [F.coalesce(F.sum(F.when(F.col("path") == i, F.col("n"))), F.lit(0)) for i in range(len(keys))]
-    counted = orphans.agg(
-        F.array(*[F.struct(n.alias("name"), s.alias("failures")) for n, s in zip(names, sums)]).alias("_all")
-    ).select(F.inline("_all"))
-    return judge(counted, F.col("name"))
-
-
-def integrity_suite(tables: dict[str, DataFrame], declared_columns: bool = True) -> DataFrame:
-    """`check, failures, status` for all declared keys of the tables given.
-
-    `tables` holds marts by name, and staging under `stg_jobs` and `stg_job_skills` where wanted.
-    """
-    rows = []
+def declared_rules(tables: dict[str, DataFrame], declared_columns: bool = True) -> list[Rule]:
+    """The rules on the tables given: required fields, keys, foreign keys whose parent is given, columns."""
+    rules: list[Rule] = []
     for table, columns in STAGING_REQUIRED.items():
         if table in tables:
-            rows.append(required_fields(tables[table], table, columns))
+            rules += [required(table, c) for c in columns]
     if "stg_jobs" in tables:
-        rows.append(unique(tables["stg_jobs"], "posting_id").verdict(label="unique stg_jobs.posting_id"))
+        rules.append(unique_key("stg_jobs", "posting_id"))
     for table, key in PRIMARY_KEYS.items():
         if table in tables:
-            rows.append(required_fields(tables[table], table, [key]))
-            rows.append(unique(tables[table], key).verdict(label=f"unique {table}.{key}"))
-    for child in dict.fromkeys(k[0] for k in FOREIGN_KEYS):
-        keys = [k for k in FOREIGN_KEYS if k[0] == child and k[2] in tables]
-        if child in tables and keys:
-            rows.append(foreign_keys(tables, child, keys))
+            rules += [required(table, key), unique_key(table, key)]
+    rules += [refers(*key) for key in FOREIGN_KEYS if key[0] in tables and key[2] in tables]
     if declared_columns:
-        for table, schema in MARTS.items():
-            if table in tables:
-                found = expect_table_columns_to_match_set(tables[table], schema.fieldNames())
-                rows.append(found.verdict(label=f"columns {table}"))
-    return verdicts(rows)
+        rules += [has_columns(t, schema.fieldNames()) for t, schema in MARTS.items() if t in tables]
+    return rules
+
+
+def integrity_suite(tables: dict[str, DataFrame], declared_columns: bool = True) -> DataFrame:
+    """`check, failures, status` for all declared keys of the tables given, in one scan of each.
+
+    `tables` holds marts by name, and staging under `stg_jobs` and `stg_job_skills` where wanted.
+    """
+    return planned_verdicts(tables, declared_rules(tables, declared_columns))
