@@ -5,15 +5,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from starloom.plans.conform import FEEDS, SourceMapping, conform
+from starloom.plans.conform import FEEDS, Conformed, SourceMapping, conform
 from starloom.plans.marts import build_marts, stage_postings, stage_skills
 from starloom.plans.suite import integrity_suite
-from starloom.sources.bronze import landing_report, promote, read_feed
-from starloom.sources.lake import clustered, publish, replace_rows, require_root, write_day
-from starloom.streaming.load import load_raw
+from starloom.schemas import MARTS
+from starloom.sources.bronze import landed_payloads, landing_report, promote, read_elements, split_elements
+from starloom.sources.lake import clustered, day_path, enforced, publish, publish_staging, write_day
+from starloom.sources.versions import current_path, path_exists, replace_rows
+from starloom.streaming.load import RAW_TABLES, load_raw
 
 
 @dataclass(frozen=True)
@@ -29,39 +30,44 @@ class LandingRejected(RuntimeError):
     """A landed file is no usable feed; nothing of this day was taken over."""
 
 
-def land(spark: SparkSession, landing: str, base: str) -> None:
-    """A3/A2: accept or reject the landed files, then take them over unchanged."""
-    report = landing_report(spark, landing).persist(StorageLevel.DISK_ONLY)
-    try:
-        # names and reasons only, of the files of one landing
-        rejected = report.filter(~F.col("accepted")).select("path", "reason").orderBy("path").collect()
-        if rejected:
-            listed = "; ".join(f"{r.path}: {r.reason}" for r in rejected)
-            raise LandingRejected(f"{len(rejected)} files rejected: {listed}")
-        promote(report, base)
-    finally:
-        report.unpersist()
+def land(spark: SparkSession, landing: str, base: str, feeds: dict[str, SourceMapping] = FEEDS) -> None:
+    """A3/A2: accept or reject the landed files, then take them over unchanged, with their elements line by line.
+
+    The verdicts on all files are written as a table below `landing_report`; an error only counts them. Nothing is
+    taken over unless all files pass, and a file that lands after its report was written waits for the next run.
+    """
+    verdicts = landing_report(spark, landing).drop("payload")
+    report = replace_rows(verdicts, f"{base}/landing_report")
+    counts = report.filter(~F.col("accepted")).groupBy("reason").count().orderBy("reason").collect()  # a row per reason
+    if counts:
+        listed = ", ".join(f"{r.reason}: {r['count']}" for r in counts)
+        table = current_path(spark, f"{base}/landing_report")
+        raise LandingRejected(f"{sum(r['count'] for r in counts)} files rejected ({listed}); see {table}")
+    known = report.select("path", "accepted")
+    promote(landed_payloads(spark, landing).join(known, "path"), base)
+    for source, day in report.select("source", "ingestion_date").distinct().collect():  # feeds of one landing
+        split_elements(spark, base, source, day, feeds[source].root if source in feeds else None)
 
 
 def conform_day(spark: SparkSession, base: str, mapping: SourceMapping, day: date) -> dict[str, int]:
-    """L1-L3 for one feed and day: the file is parsed once, row counts are taken while writing."""
-    raw = read_feed(spark, base, mapping.source, day, mapping.schema)
-    if mapping.root:
-        require_root(raw, mapping.root)
-    made = conform(raw.drop("source", "ingestion_date"), mapping, day)
-    # Both outputs read the narrow projection; lost blocks are recomputed from the feed file.
-    made.base.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        counts = {}
-        for folder, rows in (("jobs", made.jobs), ("job_skills", made.skills)):
-            seen = Observation(folder)
-            write_day(
-                rows.observe(seen, F.count(F.lit(1)).alias("n")), f"{base}/silver/{folder}", mapping.source, day
-            )
-            counts[folder] = seen.get["n"]
-        return counts
-    finally:
-        made.base.unpersist()
+    """L1-L3 for one feed and day: its elements are parsed once, row counts are taken while writing.
+
+    Feeds that didn't come through the gate are split into lines first. The narrow projection is written as a layer of
+    its own, which both outputs read.
+    """
+    if not path_exists(spark, day_path(f"{base}/elements", mapping.source, day)):
+        split_elements(spark, base, mapping.source, day, mapping.root)
+    raw = read_elements(spark, base, mapping.source, day, mapping.schema)
+    projected = conform(raw.drop("source", "ingestion_date"), mapping, day).base
+    path = day_path(f"{base}/conformed", mapping.source, day)
+    projected.write.mode("overwrite").parquet(path)
+    made = Conformed.of(spark.read.schema(projected.schema).parquet(path))
+    counts = {}
+    for folder, rows in (("jobs", made.jobs), ("job_skills", made.skills)):
+        seen = Observation(folder)
+        write_day(rows.observe(seen, F.count(F.lit(1)).alias("n")), f"{base}/silver/{folder}", mapping.source, day)
+        counts[folder] = seen.get["n"]
+    return counts
 
 
 def run_day(
@@ -70,32 +76,41 @@ def run_day(
     day: date,
     landing: str | None = None,
     feeds: dict[str, SourceMapping] = FEEDS,
-    schema: str | None = None,
+    schema: str | None = "marts",
+    staging_schema: str | None = "staging",
     cluster_facts: bool = False,
 ) -> DayResult:
-    """Land, conform each feed, load, stage, model, check; `day` is the only date anywhere.
+    """Land, conform each feed, load, stage, model, check; `day` is the only date but `loaded_at`.
 
-    Every layer is written before the next one reads it, so a lost executor repeats at most one layer.
-    With `schema`, marts also become catalog tables of that schema. `cluster_facts` sorts the fact by date,
-    for tables of hundreds of millions of rows.
+    Every layer is written before the next one reads it, so a lost executor repeats at most one layer. Staging and
+    marts are written aside and switched to, so a run that dies leaves yesterday's tables readable.
+    Staging becomes views of `staging_schema`, marts become tables of `schema`; None leaves them out of the catalog.
+    `cluster_facts` sorts the fact by date, for tables of hundreds of millions of rows.
     """
     if landing:
-        land(spark, landing, base)
+        land(spark, landing, base, feeds)
     counts = {name: conform_day(spark, base, mapping, day) for name, mapping in feeds.items()}
 
-    raw = load_raw(spark, base)
-    staged = {
-        "stg_jobs": replace_rows(stage_postings(raw["raw_jobs"]), f"{base}/staging/stg_jobs"),
-        "stg_job_skills": replace_rows(stage_skills(raw["raw_job_skills"]), f"{base}/staging/stg_job_skills"),
-    }
+    empty = {t: [(feeds[n].source, day) for n, c in counts.items() if not c[folder]] for t, (folder, _) in RAW_TABLES.items()}
+    raw = load_raw(spark, base, empty)
+    staged = {}
+    for name, rows in (("stg_jobs", stage_postings(raw["raw_jobs"])), ("stg_job_skills", stage_skills(raw["raw_job_skills"]))):
+        location = f"{base}/staging/{name}"
+        staged[name] = (
+            publish_staging(rows, staging_schema, name, location, f"{base}/catalog/staging")
+            if staging_schema
+            else replace_rows(rows, location)
+        )
     marts = build_marts(spark, staged["stg_jobs"], staged["stg_job_skills"])
     if cluster_facts:
         marts["fact_job_posting"] = clustered(marts["fact_job_posting"], "date_key")
     written = {}
     for name, df in marts.items():
-        location = f"{base}/marts/{name}"
+        location, rows = f"{base}/marts/{name}", enforced(df, MARTS[name], name)
         written[name] = (
-            publish(df, schema, name, location=location) if schema else replace_rows(df, location)
+            publish(rows, schema, name, location=location, schema_location=f"{base}/catalog/marts")
+            if schema
+            else replace_rows(rows, location)
         )
     tables = {**staged, **written}
     return DayResult(counts, tables, integrity_suite(tables))

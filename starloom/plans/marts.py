@@ -154,8 +154,14 @@ def fact_job_skill(skills: DataFrame) -> DataFrame:
     )
 
 
-def build_marts(spark: SparkSession, postings: DataFrame, skills: DataFrame) -> dict[str, DataFrame]:
-    """All dimensions and facts of a staged set."""
+def build_marts(
+    spark: SparkSession, postings: DataFrame, skills: DataFrame, loaded_at: Column | None = None
+) -> dict[str, DataFrame]:
+    """All dimensions and facts of a staged set.
+
+    The posting fact has the moment of the load in UTC, by default that at which its job starts.
+    """
+    moment = utc_wall_clock(F.current_timestamp()) if loaded_at is None else loaded_at
     return {
         "dim_source": dim_source(postings),
         "dim_company": dim_company(postings),
@@ -163,6 +169,6 @@ def build_marts(spark: SparkSession, postings: DataFrame, skills: DataFrame) ->
         "dim_skill": dim_skill(skills),
         "dim_role": dim_role(postings),
         "dim_date": dim_date(spark),
-        "fact_job_posting": fact_job_posting(postings),
+        "fact_job_posting": fact_job_posting(postings).withColumn("loaded_at", moment.cast("timestamp_ntz")),
         "fact_job_skill": fact_job_skill(skills),
     }

@@ -16,19 +16,20 @@ from starloom.plans.star import Path, star_rollup
 from starloom.queries.registry import Tables, query
 from starloom.schemas import FLAT_FEED
 from starloom.session import scratch_path
-from starloom.sources.bronze import flatten_pages, judge_payloads, promote, read_feed
+from starloom.sources.bronze import flatten_pages, judge_payloads, promote, read_elements, read_feed, split_elements
 from starloom.sources.lake import (
     conform_to,
     empty_frame,
     matching_tables,
     open_tables,
     publish,
-    replace_rows,
+    publish_view,
     require_root,
     union_sources,
     write_day,
     write_partitions,
 )
+from starloom.sources.versions import replace_rows
 from starloom.streaming.load import load_new_files
 
 DAY = date(2026, 6, 1)
@@ -98,7 +99,7 @@ def paged_items(t: Tables) -> DataFrame:
     """
 )
 def feed_round_trip(t: Tables) -> DataFrame:
-    """Parts written as JSON array files to the bronze layout and read back with the declared schema."""
+    """Parts written as JSON array files to the bronze layout, split into lines, and read with the declared schema."""
     base = scratch_path(t.spark, "feed")
     element = F.struct(
         F.col("p_partkey").alias("id"),
@@ -107,8 +108,9 @@ def feed_round_trip(t: Tables) -> DataFrame:
         F.when(F.col("p_type") != "PROMO", F.split("p_name", " ")).alias("tags"),
     )
     promote(judge_payloads(payload_files(t.part, "p_partkey", element, FLAT.source)), base)
-    feed = require_root(read_feed(t.spark, base, FLAT.source, DAY, FLAT_FEED), "position")
-    return feed.select(
+    require_root(read_feed(t.spark, base, FLAT.source, DAY, FLAT_FEED), "position")
+    split_elements(t.spark, base, FLAT.source, DAY, root="position")
+    return read_elements(t.spark, base, FLAT.source, DAY, FLAT_FEED).select(
         "id", "position", "salary_max", F.coalesce(F.size("tags"), F.lit(0)).alias("n_tags"), "legal", "source", "ingestion_date"
     )
 
@@ -194,21 +196,35 @@ def declared_schema(t: Tables) -> DataFrame:
 
 @query(
     """
-    SELECT 'events_' || event_type AS origin, event_id, user_id, CASE WHEN event_type = 'purchase' THEN value END AS value
-    FROM events WHERE event_type IN ('click', 'purchase', 'view')
+    SELECT 'events_' || event_type AS origin, event_id, user_id,
+           CASE WHEN event_type = 'purchase' THEN value WHEN event_type = 'error' THEN -value END AS value
+    FROM events
     """
 )
 def catalog_union(t: Tables) -> DataFrame:
-    """Tables and a view published in a schema, found by name pattern, stacked over their superset."""
-    base, schema = scratch_path(t.spark, "catalog"), f"starloom_{uuid.uuid4().hex[:12]}"
-    for kind in ("click", "purchase", "view", "signup_old"):
-        rows = t.events.filter(F.col("event_type") == kind).select("event_id", "user_id", *(["value"] if kind == "purchase" else []))
-        publish(rows, schema, f"events_{kind}", location=f"{base}/{kind}", schema_location=f"{base}/schema")
-    found = matching_tables(t.spark, schema.upper(), "EVENTS_%", exclude="%_old")
+    """Tables and a view of a schema, found by name pattern, stacked over their superset.
+
+    Every event type is a table; that of the errors, refreshed once more, is read through a view, which keeps its query
+    in the catalog. A table of old clicks is excluded by name.
+    """
+    base, schema = scratch_path(t.spark, "catalog"), f"starloom_{uuid.uuid4().hex[:12]}".upper()
+
+    def publish_type(kind: str, name: str) -> None:
+        rows = t.events.filter(F.col("event_type") == kind).select("event_id", "user_id", *(["value"] if kind in ("purchase", "error") else []))
+        publish(rows, schema, name, location=f"{base}/{name}", schema_location=f"{base}/schema")
+
+    for kind in ("click", "purchase", "signup", "view"):
+        publish_type(kind, f"events_{kind}")
+    publish_type("click", "events_click_old")
+    publish_type("error", "problems")
+    publish_type("error", "problems")
+    publish_view(t.spark, schema, "events_error", f"SELECT event_id, user_id, -value AS value FROM `{schema}`.problems")
+    found = matching_tables(t.spark, schema, "EVENTS_%", exclude="%_old")
     tables = {name.split(".")[1]: df for name, df in open_tables(t.spark, found).items()}
-    # The frames read the files; the schema itself was only needed to find them.
-    t.spark.sql(f"DROP DATABASE `{schema.upper()}` CASCADE")
-    return union_relations(tables, source_column="origin")
+    stacked = union_relations(tables, source_column="origin")
+    # The frames have read the catalog; the files stay.
+    t.spark.sql(f"DROP DATABASE `{schema}` CASCADE")
+    return stacked
 
 
 def _land_three_feeds(t: Tables, landing: str) -> None:
@@ -277,7 +293,10 @@ def medallion_day(t: Tables) -> DataFrame:
     """L13 with A1-A8, L1-L12: three landed feeds go through every layer; the marts are then rolled up."""
     base = scratch_path(t.spark, "day")
     _land_three_feeds(t, f"{base}/landing")
-    tables = run_day(t.spark, base, DAY, landing=f"{base}/landing").tables
+    name = uuid.uuid4().hex[:12]
+    tables = run_day(t.spark, base, DAY, landing=f"{base}/landing", schema=f"marts_{name}", staging_schema=f"staging_{name}").tables
+    for schema in (f"MARTS_{name.upper()}", f"STAGING_{name.upper()}"):  # the frames have read the catalog; the files stay
+        t.spark.sql(f"DROP DATABASE `{schema}` CASCADE")
     rolled = star_rollup(
         tables["fact_job_posting"],
         [

@@ -11,7 +11,7 @@ from starloom.plans.suite import integrity_suite
 from starloom.queries.postings import STAGED_SKILLS_SQL, STAGED_SQL, raw_jobs, raw_skills
 from starloom.queries.registry import Tables, query
 from starloom.session import scratch_path
-from starloom.sources.lake import replace_rows
+from starloom.sources.versions import replace_rows
 
 ROLE_SQL = """
     dim_role AS (
@@ -329,7 +329,7 @@ def integrity_suite_verdicts(t: Tables) -> DataFrame:
     """All declared keys of the star, one verdict each.
 
     Postings older than the stored calendar are orphans of `dim_date`, and are reported as such. Staging is
-    written first, as in a daily run, since some thirty checks read it.
+    written first, as in a daily run, since every mart reads it; each mart is read once, so it is not.
     """
     base = scratch_path(t.spark, "suite")
     postings = replace_rows(staged(t), f"{base}/stg_jobs")

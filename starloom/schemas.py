@@ -144,6 +144,7 @@ MARTS: dict[str, StructType] = {
             StructField("is_remote", BooleanType()),
             StructField("job_url", StringType()),
             StructField("posted_at", TimestampNTZType()),
+            StructField("loaded_at", TimestampNTZType()),
         ]
     ),
     "fact_job_skill": StructType(

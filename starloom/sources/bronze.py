@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.classic.column import Column as JvmColumn
 from pyspark.sql.types import ArrayType, StructType
 
 from starloom.operators.columns import fresh_name, quoted
-from starloom.sources.lake import day_path
+from starloom.sources.lake import PARTITIONS, day_path
 
 
 def read_feed(
@@ -26,7 +27,8 @@ def read_feed(
 
     Files are read as whole texts and parsed from memory. The multi-line JSON reader would go back to the
     file for every number that is declared as text: one more read, or one more request to an object
-    store, per value.
+    store, per value. A file is one value of one task here: this suits files of some hundred MB. Feeds that
+    came through the gate are better read by `read_elements`, which splits a file over tasks.
     """
     days = [days] if isinstance(days, date) else list(days)
     paths = [day_path(f"{base}/bronze", source, d) for d in days]
@@ -38,11 +40,58 @@ def read_feed(
     return files.select(F.inline(elements), "source", "ingestion_date")
 
 
-def _same_form(path: str | Column):
+def split_elements(
+    spark: SparkSession, base: str, source: str, day: date, root: str | None = None
+) -> DataFrame:
+    """A1: beside the unchanged payloads of a day, the same elements one per line, as they are written there.
+
+    This is the only step that holds a whole file, one at a time in a task. What reads the elements afterwards reads
+    lines, which Spark splits by size whatever the file they came from. A line break inside an element can only be
+    space between its parts, and becomes a blank. A rerun replaces the day.
+
+    B3: with `root`, elements that have that field are counted by the same job; none is an error. Returns the lines.
+    """
+    files = spark.read.option("basePath", f"{base}/bronze").text(day_path(f"{base}/bronze", source, day), wholetext=True)
+    element = F.coalesce(F.regexp_replace("element", r"[\r\n]+", " "), F.lit("null"))
+    raw = F.coalesce(
+        F.when(_array_length(F.col("value")).isNotNull(), F.from_json("value", "array<string>")),
+        F.raise_error(F.concat(F.lit("not a JSON array: "), F.col("_metadata.file_path"))),
+    )
+    lines = files.select(F.explode(raw).alias("element")).select(element.alias("value"))
+    seen = Observation()
+    if root:
+        rooted = F.count(F.get_json_object("value", f"$['{root}']")).alias("rooted")
+        lines = lines.observe(seen, rooted)
+    path = day_path(f"{base}/elements", source, day)
+    lines.write.mode("overwrite").text(path)
+    if root and not seen.get["rooted"]:
+        raise ValueError(f"expected '{root}' in the feed of {source}; no element has it")
+    return spark.read.text(path)
+
+
+def read_elements(spark: SparkSession, base: str, source: str, days: list[date] | date, schema: StructType) -> DataFrame:
+    """A1/A2: the rows of `read_feed`, from the lines that `split_elements` wrote, so by as many tasks as their size asks for.
+
+    An element that is no object is a row of nulls.
+    """
+    days = [days] if isinstance(days, date) else list(days)
+    lines = spark.read.option("basePath", f"{base}/elements").text([day_path(f"{base}/elements", source, d) for d in days])
+    return lines.select(F.from_json("value", schema).alias("element"), *PARTITIONS).select("element.*", *PARTITIONS)
+
+
+def _same_form(path: Column) -> Column:
     """File names come as `file:/x` or `file:///x`, depending on who lists them."""
-    if isinstance(path, Column):
-        return F.regexp_replace(path, "^file:/+", "file:/")
-    return "file:/" + path[5:].lstrip("/") if path.startswith("file:") else path
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def _listed(scan: DataFrame) -> DataFrame:
+    """path of every file of a scan, those of zero length too, which Spark lists but leaves out of its tasks.
+
+    The list is that of the scan's own file index and stays on its side.
+    """
+    spark = scan.sparkSession
+    names = JvmColumn(spark._jvm.org.apache.spark.sql.functions.lit(scan._jdf.inputFiles()))
+    return spark.range(0, 1, 1, 1).select(F.explode(names).alias("name")).select(_same_form(F.col("name")).alias("path")).distinct()
 
 
 def _array_length(body: Column) -> Column:
@@ -72,20 +121,21 @@ def judge_payloads(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     ).withColumn("accepted", F.col("reason").isNull())
 
 
+def landed_payloads(spark: SparkSession, landing: str) -> DataFrame:
+    """path, partition columns and payload of the landed files that hold anything."""
+    bodies = spark.read.text(landing, wholetext=True)
+    lineage = [c for c in bodies.columns if c != "value"]
+    return bodies.select(_same_form(F.col("_metadata.file_path")).alias("path"), *lineage, F.col("value").alias("payload"))
+
+
 def landing_report(spark: SparkSession, landing: str) -> DataFrame:
     """A3: one row per landed file: path, partition columns, payload, and the verdict on it.
 
-    Whole files are one value each, which is what a feed file is: one response of one source.
+    A whole file is one value, which is what a feed file is: one response of one source. The gate judges files as a
+    whole, so a file must fit the memory of a task, and can't be larger than 2 GB.
     """
-    bodies = spark.read.text(landing, wholetext=True)
-    lineage = [c for c in bodies.columns if c != "value"]
-    read = bodies.select(
-        _same_form(F.col("_metadata.file_path")).alias("path"), *lineage, F.col("value").alias("payload")
-    )
-    # Spark leaves files of zero length out of every scan; their names come from its own file listing.
-    # Only names are compared, so payloads stay where they were read.
-    named = spark.createDataFrame([(_same_form(p),) for p in bodies.inputFiles()], "path string")
-    unread = named.join(read.select("path"), "path", "left_anti")
+    read = landed_payloads(spark, landing)
+    unread = _listed(spark.read.text(landing, wholetext=True)).join(read.select("path"), "path", "left_anti")
     return judge_payloads(read.unionByName(unread, allowMissingColumns=True))
 
 

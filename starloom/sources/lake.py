@@ -1,13 +1,17 @@
-"""Paths, sinks and the catalog."""
+"""Paths, sinks and the catalog (A5, A6, A8, A10, A11); full refreshes are in `sources.versions`."""
 
 from __future__ import annotations
 
+import re
 from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from starloom.operators.columns import quoted
+from starloom.sources.versions import current_path, replace_rows
+
 PARTITIONS = ["source", "ingestion_date"]
 
 
@@ -61,48 +65,91 @@ def clustered(df: DataFrame, column: str) -> DataFrame:
     return df.hint("rebalance", F.col(column)).sortWithinPartitions(column)
 
 
-def replace_rows(df: DataFrame, path: str) -> DataFrame:
-    """A full refresh; reruns leave no duplicates. Returns the written table."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def enforced(df: DataFrame, schema: StructType, table: str) -> DataFrame:
+    """A10: the declared columns, where a null in a column that is declared NOT NULL stops the job that writes it.
+
+    The test is part of the write's own projection: no scan of its own, and no row that breaks the declaration is
+    ever committed.
+    """
+    rows = conform_to(df, schema)
+    return rows.select(
+        [
+            F.col(f.name)
+            if f.nullable
+            else F.coalesce(F.col(f.name), F.raise_error(F.lit(f"null in {table}.{f.name}, declared NOT NULL"))).alias(f.name)
+            for f in schema
+        ]
+    )
+
+
+def create_schema(spark: SparkSession, schema: str, location: str | None = None) -> str:
+    """Make the schema, named verbatim but trimmed and upper-cased; returns the name."""
+    schema = schema.strip().upper()
+    at = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(schema)}{at}")
+    return schema
 
 
 def publish(
-    df: DataFrame,
-    schema: str,
-    name: str,
-    kind: str = "table",
-    location: str | None = None,
-    schema_location: str | None = None,
+    df: DataFrame, schema: str, name: str, location: str | None = None, schema_location: str | None = None
 ) -> DataFrame:
-    """Materialize as a `view` or a `table` in the schema named, which is taken upper-cased and verbatim.
+    """Materialize as a table of the schema named, which is taken upper-cased and verbatim.
 
-    A view keeps its query and is evaluated when read; it is a session view named `<SCHEMA>_<name>`,
-    since a frame has no query text to store in the catalog.
+    With a `location`, rows are written aside as a new version of the table there, and the catalog entry is switched
+    to it when they are complete. Without one, Spark's catalog keeps the rows, written aside under another name first.
     """
     spark = df.sparkSession
-    schema = schema.strip().upper()
-    if kind == "view":
-        df.createOrReplaceTempView(f"{schema}_{name}")
-        return spark.table(f"{schema}_{name}")
-    if kind != "table":
-        raise ValueError(f"kind must be 'view' or 'table', got {kind!r}")
-    at = f" LOCATION '{schema_location}'" if schema_location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`{at}")
-    writer = df.write.mode("overwrite")
+    schema = create_schema(spark, schema, schema_location)
+    table = f"{quoted(schema)}.{quoted(name)}"
     if location:
-        writer = writer.option("path", location)
-    writer.saveAsTable(f"`{schema}`.`{name}`")
-    return spark.table(f"`{schema}`.`{name}`")
+        replace_rows(df, location)
+        at = current_path(spark, location)
+        if spark.catalog.tableExists(table):
+            spark.sql(f"DROP TABLE {table}")  # of the catalog's entry alone: an external table keeps its files
+        spark.catalog.createTable(table, path=at, source="parquet", schema=df.schema)
+        return spark.table(table)
+    if not spark.catalog.tableExists(table):
+        df.write.saveAsTable(table)
+        return spark.table(table)
+    aside = f"{quoted(schema)}.{quoted(name + '__next')}"
+    df.write.mode("overwrite").saveAsTable(aside)
+    spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"ALTER TABLE {aside} RENAME TO {table}")
+    return spark.table(table)
+
+
+def publish_view(spark: SparkSession, schema: str, name: str, query: str, schema_location: str | None = None) -> DataFrame:
+    """A view of the catalog, which stores the query and evaluates it whenever the view is read."""
+    schema = create_schema(spark, schema, schema_location)
+    view = f"{quoted(schema)}.{quoted(name)}"
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS {query}")
+    return spark.table(view)
+
+
+def publish_staging(df: DataFrame, schema: str, name: str, location: str, schema_location: str | None = None) -> DataFrame:
+    """Staging as a view of its schema over its newest version; replacing the view is the switch."""
+    written = replace_rows(df, location)
+    at = current_path(df.sparkSession, location).replace("`", "``")
+    publish_view(df.sparkSession, schema, name, f"SELECT * FROM parquet.`{at}`", schema_location)
+    return written
+
+
+def like_pattern(pattern: str) -> re.Pattern:
+    """A LIKE pattern, with `\\` before a sign that stands for itself, as a regular expression in any case."""
+    signs = re.findall(r"\\.|.", pattern, re.S)
+    parts = [re.escape(c[-1]) if len(c) > 1 else {"%": ".*", "_": "."}.get(c, re.escape(c)) for c in signs]
+    return re.compile("".join(parts), re.I | re.S)
 
 
 def matching_tables(
     spark: SparkSession, schema_pattern: str, table_pattern: str, exclude: str = ""
 ) -> DataFrame:
     """Catalog tables whose schema and name match LIKE patterns in any case, minus an exclude pattern."""
+    wanted = like_pattern(schema_pattern)
     rows = [
         (db.name, t.name, {"MANAGED": "table", "EXTERNAL": "external"}.get(t.tableType, "view"))
         for db in spark.catalog.listDatabases()
+        if wanted.fullmatch(db.name)  # other databases aren't asked for their tables
         for t in spark.catalog.listTables(db.name)
         if not t.isTemporary
     ]

@@ -18,7 +18,11 @@ def read(spark, tmp_path, mapping, elements):
     folder = tmp_path / "bronze" / f"source={mapping.source}" / f"ingestion_date={DAY}"
     folder.mkdir(parents=True)
     (folder / "feed.json").write_text(json.dumps(elements, indent=1))
-    return bronze.read_feed(spark, str(tmp_path), mapping.source, DAY, mapping.schema)
+    whole = bronze.read_feed(spark, str(tmp_path), mapping.source, DAY, mapping.schema)
+    bronze.split_elements(spark, str(tmp_path), mapping.source, DAY)
+    lines = bronze.read_elements(spark, str(tmp_path), mapping.source, DAY, mapping.schema)
+    assert lines.schema == whole.schema and sorted(map(str, lines.collect())) == sorted(map(str, whole.collect()))
+    return lines
 
 
 def by_id(df):

@@ -5,13 +5,14 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from starloom.plans import marts
 from starloom.plans.daily import LandingRejected, run_day
 from starloom.plans.star import Path, star_join, star_rollup
 from starloom.schemas import MARTS, RAW_JOBS, STAGED_POSTINGS
-from starloom.sources import lake
+from starloom.sources import lake, versions
+from starloom.streaming.load import load_new_files
 
 FEEDS = {
     "RemoteOK": [
@@ -61,12 +62,22 @@ def test_two_days_and_a_rerun(spark, tmp_path, rows):
     assert dict(rows(titles)) == {"1": "Lead Data Engineer", "2": "Intern", "adzuna-1": "Cook", "usajobs-1": "Clerk"}
     assert rows(again.tables["stg_job_skills"].filter("posting_id = '1'")) == [("1", "kafka"), ("1", "spark"), ("1", "sql")]
 
-    # Repeating a day appends its new files to raw, and nothing downstream changes.
-    before = {n: rows(df) for n, df in again.tables.items()}
-    repeated = run_day(spark, base, second, schema="marts_rerun", cluster_facts=True)
-    assert {n: rows(df) for n, df in repeated.tables.items()} == before
+    # Repeating a day replaces its rows in raw, and nothing downstream changes but the moment of the load.
+    before = {n: rows(df.drop("loaded_at")) for n, df in again.tables.items()}
+    loaded = spark.table("MARTS.fact_job_posting").agg(F.max("loaded_at")).first()[0]
+    for _ in range(2):
+        repeated = run_day(spark, base, second, schema="marts_rerun", cluster_facts=True)
+        assert {n: rows(df.drop("loaded_at")) for n, df in repeated.tables.items()} == before
+        assert spark.read.schema(RAW_JOBS).parquet(f"{base}/raw/raw_jobs").count() == 4 + 3
     assert spark.table("MARTS_RERUN.dim_date").count() == 4018
-    assert spark.read.parquet(f"{base}/raw/raw_jobs").count() == 4 + 3 + 3
+    assert spark.table("MARTS_RERUN.fact_job_posting").agg(F.min("loaded_at")).first()[0] > loaded
+    assert rows(spark.table("STAGING.stg_job_skills")) == before["stg_job_skills"]
+    assert {t.name: t.tableType for t in spark.catalog.listTables("STAGING")} == {"stg_jobs": "VIEW", "stg_job_skills": "VIEW"}
+
+    # A feed that has become empty takes its day out of raw.
+    emptied = {**changed, "RemoteOK": [{"legal": "nothing today"}]}
+    run_day(spark, base, second, landing=land(tmp_path / "x", second, emptied), schema=None, staging_schema=None)
+    assert spark.read.schema(RAW_JOBS).parquet(f"{base}/raw/raw_jobs").count() == 4 + 2
 
 
 def test_a_bad_file_stops_the_day(spark, tmp_path):
@@ -130,13 +141,64 @@ def test_catalog(spark, tmp_path, rows):
     df = spark.createDataFrame([(1,)], "v int")
     for name in ("events_1", "Events_2", "events_old", "other"):
         lake.publish(df, " stage_test ", name)
-    view = lake.publish(df, "stage_test", "peek", kind="view")
-    assert rows(view) == [(1,)] and spark.catalog.tableExists("STAGE_TEST_peek")
+    view = lake.publish_view(spark, " stage_test", "peek", "SELECT v + 1 AS v FROM stage_test.other")
+    assert rows(view) == [(2,)]
+    lake.publish(df.withColumn("v", F.lit(5)), "stage_test", "other", location=f"{tmp_path}/other")
+    assert rows(spark.table("stage_test.peek")) == [(6,)]  # a view keeps its query, not its rows
+    lake.publish(df.withColumn("v", F.lit(8)), "stage_test", "other", location=f"{tmp_path}/other")
+    assert rows(spark.newSession().table("STAGE_TEST.peek")) == [(9,)]
     lake.publish(df, "stage_test", "events_1")  # a rebuild replaces
     assert spark.table("stage_test.events_1").count() == 1
     found = lake.matching_tables(spark, "STAGE\\_TEST", "EVENTS%", exclude="%old")
     assert rows(found.select("table_name", "table_type")) == [("events_1", "table"), ("events_2", "table")]
     assert rows(lake.tables_with_prefix(spark, "stage_test", "OTH").select("table_name")) == [("other",)]
     assert set(lake.open_tables(spark, found)) == {"stage_test.events_1", "stage_test.events_2"}
-    with pytest.raises(ValueError, match="kind"):
-        lake.publish(df, "stage_test", "x", kind="index")
+    every = lake.matching_tables(spark, "stage\\_test", "%")
+    assert rows(every.filter("table_name IN ('other', 'peek')").select("table_name", "table_type")) == [("other", "external"), ("peek", "view")]
+
+
+def test_a_killed_refresh_leaves_the_old_table(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    lake.publish(spark.range(3).toDF("v"), "refresh_test", "t", location=path)
+    old = versions.read_table(spark, path)
+    broken = spark.range(0, 100, 1, 4).select(F.when(F.col("id") < 80, F.col("id")).otherwise(F.raise_error(F.lit("killed")).cast("bigint")).alias("v"))
+    for refresh in (lambda: versions.replace_rows(broken, path), lambda: lake.publish(broken, "refresh_test", "t", location=path)):
+        with pytest.raises(Exception, match="killed"):
+            refresh()
+        assert rows(old) == rows(versions.read_table(spark, path)) == rows(spark.table("refresh_test.t")) == [(0,), (1,), (2,)]
+    # a job that died without an error leaves files but no mark
+    left = tmp_path / "t" / "_v000000077"
+    left.mkdir()
+    (left / "part-0.parquet").write_text("half a file")
+    assert rows(versions.read_table(spark, path)) == [(0,), (1,), (2,)]
+    for k in (7, 8, 9):
+        assert rows(versions.replace_rows(spark.range(k, k + 1).toDF("v"), path)) == [(k,)]
+    assert not left.exists() and len([d for d in (tmp_path / "t").iterdir() if d.is_dir()]) == 2
+    assert rows(versions.read_table(spark, path)) == [(9,)]
+    with pytest.raises(Exception):
+        spark.read.parquet(path).count()  # nobody reads all versions as one
+
+
+def test_a_null_in_a_declared_column_stops_the_write(spark, tmp_path, rows):
+    declared = T.StructType([T.StructField("K", T.StringType(), False), T.StructField("n", T.IntegerType())])
+    good, bad = spark.createDataFrame([("a", None)], "k string, n int"), spark.createDataFrame([("a", 1), (None, 2)], "k string, n int")
+    path = str(tmp_path / "t")
+    assert rows(versions.replace_rows(lake.enforced(good, declared, "t"), path)) == [("a", None)]
+    with pytest.raises(Exception, match="null in t.K, declared NOT NULL"):
+        versions.replace_rows(lake.enforced(bad, declared, "t"), path)
+    with pytest.raises(Exception, match="null in t.K"):  # also where the column is missing
+        versions.replace_rows(lake.enforced(bad.drop("k"), declared, "t"), path)
+    assert rows(versions.read_table(spark, path)) == [("a", None)]
+    assert lake.enforced(good, MARTS["dim_skill"], "dim_skill").columns == MARTS["dim_skill"].fieldNames()
+
+
+def test_a_day_in_several_batches_is_whole(spark, tmp_path, rows):
+    folder, target, log = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "log")
+    df = spark.range(0, 60, 1, 6).select("id", F.lit("s").alias("source"), F.lit(date(2026, 6, 1)).alias("ingestion_date"))
+    df.write.partitionBy("source", "ingestion_date").parquet(folder)
+    for _ in range(2):
+        load_new_files(spark, folder, target, log, df.schema, files_per_batch=2)
+        assert rows(spark.read.parquet(target).select("id")) == rows(df.select("id"))
+    lake.write_day(df.limit(7), folder, "s", date(2026, 6, 1))
+    load_new_files(spark, folder, target, log, df.schema, files_per_batch=2)
+    assert spark.read.parquet(target).count() == 7

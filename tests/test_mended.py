@@ -1,5 +1,6 @@
 """Inputs that were lost or mixed up once: old files, half-read feeds, null feed keys, clashing and dotted names."""
 
+import json
 import os
 import time
 from datetime import date
@@ -10,8 +11,11 @@ from pyspark.sql import functions as F
 from starloom.checks import equal_rowcount, fewer_rows_than, unique_combination_of_columns
 from starloom.operators.compare import two_way_except
 from starloom.operators.dedupe import deduplicate
+from starloom.plans import daily
+from starloom.plans.conform import SourceMapping
 from starloom.plans.daily import LandingRejected, land
-from starloom.sources.bronze import flatten_pages, read_feed
+from starloom.sources.bronze import flatten_pages, read_elements, read_feed, split_elements
+from starloom.sources.versions import read_table
 from starloom.streaming.load import load_new_files
 
 
@@ -54,14 +58,57 @@ def test_null_feed_key_stops(spark):
     assert sorted((r.feed or "", r.page, r["item"]) for r in got) == [("", 1, 1), ("f", 1, 2)]
 
 
-def test_all_rejected_files_are_named(spark, tmp_path):
+def test_all_rejected_files_are_in_the_report(spark, tmp_path):
     at = tmp_path / "landing/source=s/ingestion_date=2026-06-01"
     at.mkdir(parents=True)
     for k in range(30):
-        (at / f"bad{k:02}.json").write_text("{}")
-    with pytest.raises(LandingRejected) as e:
+        (at / f"bad{k:02}.json").write_text("{}" if k else "")
+    (at / "good.json").write_text("[{}]")
+    with pytest.raises(LandingRejected, match=r"30 files rejected \(empty body: 1, not a JSON array: 29\); see .*landing_report") as e:
         land(spark, str(tmp_path / "landing"), str(tmp_path / "base"))
-    assert "30 files" in str(e.value) and all(f"bad{k:02}.json" in str(e.value) for k in range(30))
+    assert "bad" not in str(e.value) and not (tmp_path / "base/bronze").exists()
+    report = read_table(spark, str(tmp_path / "base/landing_report"))
+    assert "payload" not in report.columns
+    rejected = {r.path.split("/")[-1]: r.reason for r in report.filter("NOT accepted").collect()}
+    assert rejected == {f"bad{k:02}.json": "not a JSON array" if k else "empty body" for k in range(30)}
+
+
+def test_one_feed_file_is_read_by_several_tasks(spark, tmp_path):
+    landing = tmp_path / "landing/source=s/ingestion_date=2026-06-01"
+    landing.mkdir(parents=True)
+    elements = [{"a": k, "b": {"c": "x" * 50}, "d": 1.50} for k in range(20_000)] + [None, 7, {"e": "line\nbreak"}, {"a": "9"}]
+    (landing / "f.json").write_text(json.dumps(elements, indent=1))
+    base, day = str(tmp_path / "base"), date(2026, 6, 1)
+    land(spark, str(tmp_path / "landing"), base, {"s": SourceMapping("s", None, None, root="b")})
+    schema = spark.createDataFrame([], "a string, b struct<c:string>, d string, e string").schema
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    own.conf.set("spark.sql.files.openCostInBytes", "0")
+    split = read_elements(own, base, "s", day, schema)
+    assert len([*(tmp_path / "base/elements").rglob("part-*.txt")]) == 1
+    assert split.select(F.spark_partition_id().alias("p")).distinct().count() >= 8
+    got = split.collect()
+    assert len(got) == 20_004 and sum(r.a is None for r in got) == 3
+    assert {r.d for r in got} == {"1.50", None} or {r.d for r in got} == {"1.5", None}
+    assert [r.e for r in got if r.e] == ["line\nbreak"]
+    assert {(r.source, r.ingestion_date) for r in got} == {("s", day)}
+    with pytest.raises(ValueError, match="expected 'zzz'"):
+        split_elements(spark, base, "s", day, root="zzz")
+
+
+def test_a_late_file_waits_for_the_next_run(spark, tmp_path, monkeypatch):
+    landing = tmp_path / "landing/source=s/ingestion_date=2026-06-01"
+    landing.mkdir(parents=True)
+    (landing / "f.json").write_text('[{"a": 1}]')
+    real = daily.promote
+
+    def late(payloads, base):
+        (landing / "g.json").write_text("broken")
+        real(payloads, base)
+
+    monkeypatch.setattr(daily, "promote", late)
+    daily.land(spark, str(tmp_path / "landing"), str(tmp_path / "base"))
+    assert [f.read_text().strip() for f in (tmp_path / "base/bronze").rglob("part-*.txt")] == ['[{"a": 1}]']
 
 
 def test_helper_names_do_not_clash(spark):
