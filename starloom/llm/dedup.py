@@ -97,19 +97,20 @@ def mark_copies(
     checkpoint: str | None = None,
     files_per_batch: int | None = None,
     columns: list[str] | None = None,
+    prefix: str = "dup_",
 ) -> DataFrame:
     """Every row of the Parquet files at `path` with its `columns` (None: all), and four more.
 
     `dup_digest` (binary), `dup_keep_id` (id of the row that stays), `dup_group_size`, `dup_kept` (true for
     exactly one row of each group of equal texts: the one with the largest id, and of repeated ids the last
     in file order). A null text counts as empty; a null id is smaller than any other. No rows give no rows.
-    The four names must be free in the table.
+    The four names begin with `prefix` and must not be among `columns`.
     """
     docs = spark.read.parquet(path)
-    taken = {"dup_digest", "dup_keep_id", "dup_group_size", "dup_kept"} & set(docs.columns)
+    names = docs.columns if columns is None else columns
+    taken = {f"{prefix}{c}" for c in ("digest", "keep_id", "group_size", "kept")} & {c.lower() for c in names}
     if taken:
         raise ValueError(f"columns {sorted(taken)} are in the table already")
-    names = docs.columns if columns is None else columns
     checkpoint = checkpoint or scratch_path(spark, "dedup-state")
     state = collect_state(spark, path, docs.schema, checkpoint, id_col, text_col, digest, files_per_batch)
     state = state.select(F.col("digest").alias("s_digest"), F.col("place").alias("s_place"), F.col("n").alias("s_n"))
@@ -149,10 +150,10 @@ def mark_copies(
     def finished(df: DataFrame, place: Column, n: Column) -> DataFrame:
         return df.select(
             *[F.col(f"r.`{c}`").alias(c) for c in names],
-            F.col("digest").alias("dup_digest"),
-            place["id"].alias("dup_keep_id"),
-            n.cast("long").alias("dup_group_size"),
-            (F.col("place") == place).alias("dup_kept"),
+            F.col("digest").alias(f"{prefix}digest"),
+            place["id"].alias(f"{prefix}keep_id"),
+            n.cast("long").alias(f"{prefix}group_size"),
+            (F.col("place") == place).alias(f"{prefix}kept"),
         )
 
     alone = finished(matched.where("s_n = 1"), F.col("s_place"), F.col("s_n"))
@@ -167,4 +168,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     """The rows of `docs` that stay, with its columns. The rows are written once, since locators need files."""
     stored = scratch_path(spark, "dedup-input")
     docs.write.parquet(stored)
-    return mark_copies(spark, stored, id_col, text_col).where("dup_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    prefix = "dup_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = f"_{prefix}"
+    marked = mark_copies(spark, stored, id_col, text_col, prefix=prefix)
+    return marked.where(F.col(f"{prefix}kept")).select(*[F.col(f"`{c}`") for c in docs.columns])

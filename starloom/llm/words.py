@@ -2,7 +2,9 @@
 
 Text is handled as UTF-8 bytes. White space is one of the six bytes 0x20 and 0x09-0x0D; no byte of a longer
 character is one of them. Hashes are polynomials over a fixed table of random values, finished by a mixing
-step; they are the same in every process. Two different strings get one hash with a chance of about 2**-64.
+step; they are the same in every process. A polynomial modulo 2**64 is weak on long strings of a regular kind, so
+stretches over POLYNOMIAL_BYTES are hashed by xxhash. Two different strings that nobody chose for it get one hash with
+a chance of about 2**-64.
 """
 
 from __future__ import annotations
@@ -13,9 +15,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 _LIBC = ctypes.CDLL(None)
 SLICE_BYTES = 1 << 20
+POLYNOMIAL_BYTES = 32
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -93,17 +97,33 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return spans(data, offsets, SPACE[data])
 
 
+def _power_tables(n: int) -> list[np.ndarray]:
+    """The first `n` powers of the base and of its inverse; tables over the usual size are not kept."""
+    if len(_powers[0]) >= n:
+        return _powers
+    tables = []
+    for base in (_BASE, _INVERSE):
+        steps = np.full(max(n, SLICE_BYTES + 1), base, np.uint64)
+        steps[0] = 1
+        tables.append(np.cumprod(steps))
+    if n <= SLICE_BYTES + 1:
+        _powers[:] = tables
+    return tables
+
+
 def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A hash of each stretch of bytes."""
     n = len(data) + 1
-    if len(_powers[0]) < n:
-        for k, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(max(n, SLICE_BYTES + 1), base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps)
+    up, down = _power_tables(n)
     sums = np.zeros(n, np.uint64)
-    np.cumsum(_TABLE[data] * _powers[0][: n - 1], out=sums[1:])
-    return mix((sums[end] - sums[start]) * _powers[1][start] + (end - start).astype(np.uint64))
+    np.cumsum(_TABLE[data] * up[: n - 1], out=sums[1:])
+    out = mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+    long = np.flatnonzero(end - start > POLYNOMIAL_BYTES)
+    if len(long):
+        whole = data.tobytes()
+        ends = zip(start[long].tolist(), end[long].tolist(), strict=True)
+        out[long] = np.array([xxhash.xxh64_intdigest(whole[a:b]) for a, b in ends], np.uint64)
+    return out
 
 
 def windows(hashed: np.ndarray, rows: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -9,7 +9,7 @@ from starloom.llm import queries
 from tests.llm.test_operators import SMALL, linked
 from tests.oracle import compare, connect
 
-EXTRA = "doc_id long, text string, lang string, source string, n_chars long, score double, fp string, quality_kept boolean"
+EXTRA = "doc_id long, text string, lang string, source string, n_chars long, score double, fp string, quality_kept boolean, dup_kept int"
 
 
 @pytest.fixture(scope="module")
@@ -48,7 +48,7 @@ def test_stages_decide_as_the_operators_do(spark, kept):
 
 def test_odd_tables(spark):
     rows = [(1, None), (2, ""), (None, "one two three"), (3, "one two three"), (3, "one two three"), (4, "a b c d e f g h i j k " * 30)]
-    odd = spark.createDataFrame([(i, t, None, None, None, 0.5, "f", True) for i, t in rows], EXTRA)
+    odd = spark.createDataFrame([(i, t, None, None, None, 0.5, "f", True, 1) for i, t in rows], EXTRA)
     for docs in (odd, odd.limit(0)):
         for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, docs, SMALL)
@@ -63,7 +63,7 @@ def test_odd_tables(spark):
 def test_no_unlinked_document_goes_with_a_null_or_repeated_id(spark, tmp_path, stored):
     a, other, third = "a b c d e f g h i j " * 9, "k l m n o p q " * 20, "r s t u v w " * 20
     rows = [(1, a), (None, a), (None, other), (7, third), (7, a), (None, None), (None, "")]
-    docs = spark.createDataFrame([(i, t, None, None, None, 0.5, "f", True) for i, t in rows], EXTRA)
+    docs = spark.createDataFrame([(i, t, None, None, None, 0.5, "f", True, 1) for i, t in rows], EXTRA)
     if stored:
         docs.repartition(3).write.parquet(f"{tmp_path}/docs")
         docs = spark.read.parquet(f"{tmp_path}/docs")
