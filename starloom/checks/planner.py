@@ -138,12 +138,9 @@ def planned_verdicts(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFra
             failures[rule.label] = (domain, "marks", 0)
 
     # one row for each rule, also for tables without rows
-    wanted = [
-        F.struct(*[F.lit(v).cast(t).alias(n) for v, t, n in zip(row, ("int", "string", "int", "string", "bigint"), ("rule", "label", "own", "measure", "constant"))])
-        for row in ((i, r.label, *failures[r.label]) for i, r in enumerate(rules))
-    ]
+    wanted = [(i, r.label, *failures[r.label]) for i, r in enumerate(rules)]
     spark = next(iter(tables.values())).sparkSession
-    found = spark.range(0, 1, 1, 1).select(F.inline(F.array(*wanted)))
+    found = spark.createDataFrame(wanted, "rule int, label string, own int, measure string, constant bigint")
     value = F.col("constant")
     if unfolded:
         widest = 1 + max(uses.values(), default=-1)

@@ -34,13 +34,14 @@ def column_values(
 def value_list(
     df: DataFrame | None,
     column: ColumnLike,
+    max_values: int,
     default: list | None = None,
-    max_values: int = 10_000,
     **options,
 ) -> list:
     """F1 for building a plan (the headers of a pivot): the values on the driver.
 
-    More than `max_values` values are an error. A missing table needs a default; an empty result gives it.
+    How many the plan can take is the caller's to say: more than `max_values` values are an error, never a shorter list.
+    A missing table needs a default; an empty result gives it.
     """
     if df is None:
         if default is None:

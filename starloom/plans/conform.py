@@ -8,8 +8,9 @@ feed is a new mapping.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
@@ -55,7 +56,7 @@ class SourceMapping:
 
 @dataclass(frozen=True)
 class Conformed:
-    """`base` is the narrow projection that both results are made of, for the caller to persist."""
+    """`base` is the narrow projection that both results are made of, for the caller to write."""
 
     base: DataFrame
     jobs: DataFrame
@@ -82,7 +83,7 @@ def _flat_fields() -> dict[str, Column]:
     }
 
 
-def _struct_fields(terms: list[str] = SKILL_TERMS) -> dict[str, Column]:
+def _struct_fields(terms: list[str] = SKILL_TERMS, whole_word: bool = False) -> dict[str, Column]:
     title, location = F.trim("title"), F.trim("location.display_name")
     return {
         "posting_id": namespaced("adzuna-", "id"),
@@ -94,11 +95,11 @@ def _struct_fields(terms: list[str] = SKILL_TERMS) -> dict[str, Column]:
         "posted_at": utc_timestamp("created", "yyyy-MM-dd'T'HH:mm:ss"),
         "job_url": F.col("redirect_url"),
         "is_remote": mentions([title, location, "description"], REMOTE_WORDS),
-        "skills": tag_terms("description", terms),
+        "skills": tag_terms("description", terms, whole_word),
     }
 
 
-def _nested_fields(terms: list[str] = SKILL_TERMS) -> dict[str, Column]:
+def _nested_fields(terms: list[str] = SKILL_TERMS, whole_word: bool = False) -> dict[str, Column]:
     def inner(name: str) -> Column:
         return F.col(f"MatchedObjectDescriptor.{name}")
 
@@ -115,7 +116,7 @@ def _nested_fields(terms: list[str] = SKILL_TERMS) -> dict[str, Column]:
         "posted_at": utc_timestamp(inner("PublicationStartDate")),
         "job_url": inner("PositionURI"),
         "is_remote": mentions([title, location, inner("QualificationSummary")], REMOTE_OR_TELEWORK_WORDS),
-        "skills": tag_terms(inner("QualificationSummary"), terms),
+        "skills": tag_terms(inner("QualificationSummary"), terms, whole_word),
     }
 
 
@@ -126,6 +127,11 @@ NESTED = SourceMapping("USAJobs", NESTED_FEED, _nested_fields, root="MatchedObje
 FEEDS = {m.source: m for m in (FLAT, STRUCTS, NESTED)}
 
 
+def by_whole_words(mapping: SourceMapping) -> SourceMapping:
+    """H6: a feed whose skills are read from its text, now as whole words."""
+    return replace(mapping, fields=partial(mapping.fields, whole_word=True))
+
+
 def conform(raw: DataFrame, mapping: SourceMapping, run_date: date | Column) -> Conformed:
     """L1-L3: the postings and skill pairs of one feed.
 

@@ -108,7 +108,7 @@ def struct_feed(t: Tables) -> Conformed:
     return conform(raw, STRUCTS, RUN_DATE)
 
 
-_NESTED_SQL = f"""
+_NESTED_SQL = """
     WITH feed AS (
         SELECT 'usajobs-' || o_custkey AS posting_id, 'USAJobs' AS source,
                nullif(o_orderpriority, '5-LOW') AS title, 'Office ' || o_orderstatus AS company,
@@ -117,7 +117,7 @@ _NESTED_SQL = f"""
                CASE WHEN o_orderstatus = 'F' THEN o_totalprice + 1 END AS salary_max_usd,
                o_orderpriority = '2-HIGH' OR o_orderstatus = 'O' AS is_remote, 'https://n.example/' || o_orderkey AS job_url,
                o_orderdate AS posted_at,
-               {_tagged_sql("CASE o_orderstatus WHEN 'O' THEN 'JavaScript and SQL, remote' WHEN 'F' THEN 'C++ or Power BI' END")} AS skills
+               CASE o_orderstatus WHEN 'O' THEN ['java', 'javascript', 'sql'] WHEN 'F' THEN ['c++', 'power bi'] ELSE [] END AS skills
         FROM orders)"""
 
 

@@ -121,7 +121,7 @@ def unpivot_long(t: Tables) -> DataFrame:
 )
 def pivot_counts(t: Tables) -> DataFrame:
     """One count per value found in the table."""
-    values = sorted(value_list(t.orders, "o_orderpriority"))
+    values = sorted(value_list(t.orders, "o_orderpriority", max_values=100))
     return t.orders.groupBy("o_orderstatus").agg(*pivot("o_orderpriority", values))
 
 

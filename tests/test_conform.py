@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import utc_timestamp
-from starloom.plans.conform import FLAT, NESTED, STRUCTS, conform
+from starloom.plans.conform import FLAT, NESTED, STRUCTS, by_whole_words, conform
 from starloom.plans.marts import fact_job_posting, stage_postings
 from starloom.sources import bronze, lake
 
@@ -208,3 +208,9 @@ def test_facts_do_not_depend_on_the_zone_of_the_session(spark, zone):
         (20261101, "2026-11-01 05:30:00"), (20261101, "2026-11-01 06:30:00"), (None, None), (None, None),
     ]
     assert found[1] == [two, two, (None, None)]
+
+
+def test_a_feed_tagged_by_whole_words(spark, tmp_path):
+    raw = read(spark, tmp_path, STRUCTS, [{"id": 1, "title": "a", "description": "JavaScript, going; machine learning"}])
+    inside, whole = (sorted(r.skill for r in conform(raw, m, DAY).skills.collect()) for m in (STRUCTS, by_whole_words(STRUCTS)))
+    assert inside == ["go", "java", "javascript", "machine learning"] and whole == ["javascript", "machine learning"]

@@ -185,6 +185,16 @@ def test_terms_match_inside_words(spark):
     assert got == [["java", "javascript", "go", "mongodb"], ["power bi"], [], []]
 
 
+def test_terms_as_whole_words(spark):
+    texts = ["JavaScript on MongoDB", "java, JavaScript; C++/Go", "Power BI", "power, bi-weekly", "empowerbi power  bi!", "", None, "go", "é-learning nlp2 C++11 (c++)"]
+    got = each(spark, texts, "string", lambda c: rules.tag_terms(c, whole_word=True))
+    assert got == [["javascript", "mongodb"], ["java", "javascript", "go", "c++"], ["power bi"], ["power bi"], ["power bi"], [], [], ["go"], ["c++"]]
+    own = ["b", "A b", "--", "c# ", "a  B", "c"]
+    got = each(spark, ["a b", "b a", "c#", "c # a, b"], "string", lambda c: rules.tag_terms(c, own, whole_word=True))
+    assert got == [["b", "A b", "a  B"], ["b"], ["c# "], ["b", "A b", "a  B", "c"]]
+    assert each(spark, ["a b"], "string", lambda c: rules.tag_terms(c, ["--"], whole_word=True)) == [[]]
+
+
 def test_mentions(spark):
     df = spark.createDataFrame([("Fully REMOTE", None), (None, "telework ok"), (None, None)], "a string, b string")
     got = [tuple(r) for r in df.select(text.mentions(["a", "b"], "remote"), text.mentions(["a", "b"], "remote|telework")).collect()]

@@ -108,17 +108,17 @@ def test_columnwise(spark):
 
 def test_column_values(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 1), (None, 0)], "field string, n int")
-    get = lambda **kw: values.value_list(df, "field", **kw)
+    get = lambda most=9, **kw: values.value_list(df, "field", most, **kw)
     assert get()[0] == "a" and len(get()) == 4
     assert get(max_records=1) == ["a"]
     assert get(order_by=[(F.max("n"), "desc")], max_records=2) == ["b", "a"]
     assert get(where="n > 2") == ["b"]
     assert get(where="n > 9", default=["z"]) == ["z"]
-    assert values.value_list(None, "field", default=[]) == []
+    assert values.value_list(None, "field", 9, default=[]) == []
     with pytest.raises(ValueError, match="no default"):
-        values.value_list(None, "field")
+        values.value_list(None, "field", 9)
     with pytest.raises(ValueError, match="more than 2"):
-        get(max_values=2)
+        get(2)
 
 
 def test_single_value(spark):
