@@ -108,12 +108,13 @@ def not_constant(df: DataFrame, column: str, group_by: list[str] = ()):
     values as counting them would.
     """
     value = F.col(quoted(column))
+    lo, hi = fresh_name(df, "_lo"), fresh_name(df, "_hi")
     return (
         df.groupBy(*map(quoted, group_by))
-        .agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-        .filter("_lo = _hi")
+        .agg(F.min(value).alias(lo), F.max(value).alias(hi))
+        .filter(F.col(lo) == F.col(hi))
         .withColumn("filler_column", F.lit(1).cast("bigint"))
-        .drop("_lo", "_hi")
+        .drop(lo, hi)
     )
 
 

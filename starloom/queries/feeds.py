@@ -36,7 +36,7 @@ _SKILLS = """
     WHERE length(trim(raw)) > 0"""
 
 
-def _tagged_sql(text: str) -> str:
+def tagged_sql(text: str) -> str:
     terms = ", ".join(f"'{s}'" for s in SKILL_TERMS)
     return f"list_filter([{terms}], lambda w: contains(lower(coalesce({text}, '')), w))"
 
@@ -80,7 +80,7 @@ _STRUCT_SQL = f"""
                CAST(n_chars - 300 AS DOUBLE) AS salary_min_usd, CASE WHEN lang <> 'de' THEN CAST(n_chars AS DOUBLE) END AS salary_max_usd,
                contains(lower(lang || ' writer ' || lang || ' ' || text), 'remote') AS is_remote, 'https://s.example/' || doc_id AS job_url,
                CASE WHEN lang <> 'fr' THEN TIMESTAMP '2026-05-01 08:30:00' + to_days(CAST(doc_id % 28 AS INTEGER)) END AS posted_at,
-               {_tagged_sql("text")} AS skills
+               {tagged_sql("text")} AS skills
         FROM documents)"""
 
 

@@ -11,9 +11,11 @@ from pyspark.sql.types import BooleanType, DateType, LongType, StringType, Struc
 from starloom.functions.dates import add_units
 from starloom.operators.reshape import union_relations
 from starloom.plans.conform import FLAT, NESTED, STRUCTS
-from starloom.plans.daily import run_day
+from starloom.plans.daily import DayResult, run_day
 from starloom.plans.star import Path, star_rollup
+from starloom.queries.feeds import tagged_sql
 from starloom.queries.registry import Tables, query
+from starloom.queries.star import SUITE_PASSES
 from starloom.schemas import FLAT_FEED
 from starloom.session import scratch_path
 from starloom.sources.bronze import flatten_pages, judge_payloads, promote, read_elements, read_feed, split_elements
@@ -274,6 +276,15 @@ def _land_three_feeds(t: Tables, landing: str) -> None:
         )
 
 
+def _whole_day(t: Tables) -> DayResult:
+    base, name = scratch_path(t.spark, "day"), uuid.uuid4().hex[:12].upper()
+    _land_three_feeds(t, f"{base}/landing")
+    result = run_day(t.spark, base, DAY, landing=f"{base}/landing", schema=f"marts_{name}", staging_schema=f"staging_{name}")
+    for schema in (f"MARTS_{name}", f"STAGING_{name}"):  # the frames have read the catalog; the files stay
+        t.spark.sql(f"DROP DATABASE `{schema}` CASCADE")
+    return result
+
+
 @query(
     """
     WITH j AS (
@@ -290,13 +301,8 @@ def _land_three_feeds(t: Tables, landing: str) -> None:
     """
 )
 def medallion_day(t: Tables) -> DataFrame:
-    """L13 with A1-A8, L1-L12: three landed feeds go through every layer; the marts are then rolled up."""
-    base = scratch_path(t.spark, "day")
-    _land_three_feeds(t, f"{base}/landing")
-    name = uuid.uuid4().hex[:12]
-    tables = run_day(t.spark, base, DAY, landing=f"{base}/landing", schema=f"marts_{name}", staging_schema=f"staging_{name}").tables
-    for schema in (f"MARTS_{name.upper()}", f"STAGING_{name.upper()}"):  # the frames have read the catalog; the files stay
-        t.spark.sql(f"DROP DATABASE `{schema}` CASCADE")
+    """L13 with A1-A10, B3, L1-L10: three landed feeds go through every layer; the posting fact is then rolled up."""
+    tables = _whole_day(t).tables
     rolled = star_rollup(
         tables["fact_job_posting"],
         [
@@ -312,3 +318,44 @@ def medallion_day(t: Tables) -> DataFrame:
         degenerate=["is_remote"],
     )
     return rolled.withColumn("pay_total", F.col("pay_total").cast("double"))
+
+
+@query(
+    f"""
+    WITH s AS (
+        SELECT p_brand AS company_name, CASE WHEN p_type = 'PROMO' THEN 'Remote' ELSE p_type END AS location_name,
+               unnest(list_distinct(list_filter(string_split(lower(p_name), ' '), lambda w: w <> ''))) AS skill_name FROM part
+        UNION ALL
+        SELECT source, 'Unknown', unnest({tagged_sql("text")}) FROM documents
+        UNION ALL
+        SELECT o_orderpriority, 'Unknown', 'sql' FROM orders)
+    SELECT skill_name, company_name, location_name, CAST(count(*) AS BIGINT) AS postings FROM s GROUP BY ALL
+    """
+)
+def medallion_skills(t: Tables) -> DataFrame:
+    """L13 with L6-L8, L11: after the same day, postings by skill, company and place, through the bridge."""
+    tables = _whole_day(t).tables
+    fact = tables["fact_job_posting"].select("job_posting_key", "company_key", "location_key")
+    return star_rollup(
+        tables["fact_job_skill"].select("job_posting_key", "skill_key").join(fact, "job_posting_key"),
+        [
+            Path("skill_key", tables["dim_skill"], {"skill_name": "skill_name"}),
+            Path("company_key", tables["dim_company"], {"company_name": "company_name"}),
+            Path("location_key", tables["dim_location"], {"location_name": "location_name"}),
+        ],
+        {"postings": F.lit(1)},
+    )
+
+
+@query(
+    f"""
+    WITH counted AS (
+        SELECT unnest({[*SUITE_PASSES, "relationships fact_job_skill.job_posting_key -> fact_job_posting.job_posting_key"]}) AS "check", 0 AS failures
+        UNION ALL
+        SELECT 'relationships fact_job_posting.date_key -> dim_date.date_key', count(*) FROM orders WHERE year(o_orderdate) + 24 NOT BETWEEN 2020 AND 2030)
+    SELECT "check", CAST(failures AS BIGINT) AS failures, CASE WHEN failures <> 0 THEN 'error' ELSE 'pass' END AS status FROM counted
+    """
+)
+def medallion_verdicts(t: Tables) -> DataFrame:
+    """The verdicts of the same day; postings outside the stored calendar are its only orphans."""
+    return _whole_day(t).verdicts
