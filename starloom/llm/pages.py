@@ -22,11 +22,14 @@ from pyspark.sql import functions as F
 
 from starloom.session import scratch_path
 
+MOST_BITS = 1 << 26  # of the rows that an alignment keeps: 8 MB
 MIRROR = 0.9  # of the lines of a page shared: a copy of the page, not a template
 BOILER, OTHER, ARTICLE = 0, 1, 2
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
-_ATTRIBUTE = re.compile(r"""([a-zA-Z_:-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+_OTHER = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)", re.S)
+_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_TAG_SIGN = re.compile(r"[>\"']")
+_ATTRIBUTE = re.compile(r"""([a-zA-Z_:-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _BLANK = re.compile(r"\s+")
 # fixed names of HTML elements
 RAW = {"script", "style", "template", "noscript", "textarea", "title", "iframe", "svg", "math", "object", "canvas", "select", "xmp", "noembed", "noframes"}
@@ -37,23 +40,87 @@ BLOCK = {
     "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hgroup", "hr", "html", "li", "main", "menu", "nav", "ol", "option", "p", "pre", "section",
     "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 }
-#: Words of class, id and role that mark boilerplate.
+# fixed words of class, id, role and aria-label that mark boilerplate
 MARKS = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies", "disclaimer",
     "disqus", "footer", "gdpr", "header", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "popup", "promo", "promotion",
     "related", "replies", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget", "contentinfo", "complementary", "search",
 }
+# fixed words that say what kind of box a mark stands for, in names like `related-posts` or `social-links`
+BOXES = {
+    "area", "articles", "bar", "block", "body", "box", "btn", "button", "buttons", "column", "container", "content", "field", "form", "group", "holder", "icons", "inner", "item",
+    "items", "label", "link", "links", "list", "main", "message", "outer", "overlay", "panel", "posts", "row", "section", "slot", "stories", "text", "thread", "top", "bottom", "left",
+    "right", "unit", "wrap", "wrapper", "zone",
+}
+#: A name that begins so speaks of the element's surroundings or of the article's own parts.
+NOT_OWN = {"has", "with", "without", "no", "not", "is", "entry", "post", "article", "story", "content", "title", "page", "hide"}
+#: Elements that hold the article, or its headings; their names mark nothing.
+HOLDERS = {"html", "body", "main", "article", "h1", "h2", "h3", "h4", "h5", "h6"}
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-_RAW_END = {name: re.compile(rf"</{name}\s*>|\Z", re.I) for name in RAW}
 
 
-def _marked(attributes: str) -> bool:
+def _names_boilerplate(name: str) -> bool:
+    """Whether a class, an id or a label names boilerplate: by its last word, or by its first before words for boxes."""
+    words = [w.lower() for w in _WORD.findall(name)]
+    if not words or words[0] in NOT_OWN:
+        return False
+    return words[-1] in MARKS or words[0] in MARKS and all(w in BOXES or w in MARKS for w in words[1:])
+
+
+def _marked(element: str, attributes: str) -> bool:
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
-        if name.lower() in ("class", "id", "role", "aria-label") and any(w.lower() in MARKS for w in _WORD.findall(a or b or c)):
+        name, value = name.lower(), a or b or c
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+            return True
+        if element in HOLDERS:
+            continue
+        if name in ("class", "role") and any(_names_boilerplate(x) for x in value.split()):
             return True
-        if name.lower() == "aria-hidden" and (a or b or c).lower() == "true":
+        if name in ("id", "aria-label") and _names_boilerplate(value):
             return True
-    return bool(re.search(r"(?:^|\s)hidden(?:\s|$|=)", attributes, re.I))
+    return False
+
+
+_RAW_END = {name: re.compile(rf"</{name}\s*>|\Z", re.I) for name in RAW}
+
+
+class _Tokens:
+    """The pieces of a page, one after the other: comments and declarations, tags, texts. Each sign is read a few times at most."""
+
+    def __init__(self, source: str):
+        self.source = source
+        self.last = {sign: source.rfind(sign) for sign in ">\"'"}
+
+    def _tag_end(self, at: int) -> int:
+        """Behind the sign that closes the tag at `at`, 0 if none does. Quoted signs don't, unless a quote stays open."""
+        if at > self.last[">"]:
+            return 0
+        place = at
+        while sign := _TAG_SIGN.search(self.source, place):
+            if sign[0] == ">":
+                return sign.end()
+            if sign.start() >= self.last[sign[0]]:  # the quote stays open
+                break
+            place = self.source.find(sign[0], sign.end()) + 1
+        return self.source.find(">", at) + 1
+
+    def next(self, at: int) -> tuple[str, str, str, int]:
+        """kind ("text", "tag" or "none"), name of the tag, content, and where the piece ends."""
+        source = self.source
+        if source[at] != "<":
+            end = source.find("<", at)
+            end = len(source) if end < 0 else end
+            return "text", "", source[at:end], end
+        if source.startswith(("<!--", "<![CDATA["), at):
+            found = _OTHER.match(source, at)
+            text = found[0][9:].removesuffix("]]>") if found[0].startswith("<![CDATA[") else ""
+            return ("text" if text else "none"), "", text, found.end()
+        if name := _NAME.match(source, at):
+            if end := self._tag_end(name.end()):
+                return "tag", name[1].lower(), source[at:end], end
+        elif source.startswith(("<!", "<?"), at) and at < self.last[">"]:
+            return "none", "", "", source.find(">", at) + 1
+        return "text", "", "<", at + 1
 
 
 def read_lines(source: str | None) -> list[tuple[str, int]]:
@@ -73,20 +140,12 @@ def read_lines(source: str | None) -> list[tuple[str, int]]:
                 out.append((line, zone))
             text.clear()
 
-    while True:
-        found = _TOKEN.match(source, at)
-        if not found:
-            break
-        at = found.end()
-        piece = found[0]
-        if piece[0] != "<" or piece == "<":
+    tokens = _Tokens(source)
+    while at < len(source):
+        kind, name, piece, at = tokens.next(at)
+        if kind != "tag":
             text.append(piece)
             continue
-        if not found[1]:
-            if piece.startswith("<![CDATA["):
-                text.append(piece[9:].removesuffix("]]>"))
-            continue
-        name = found[1].lower()
         closing = piece[1] == "/"
         if name in RAW and not closing:
             if not piece.endswith("/>"):
@@ -120,7 +179,7 @@ def read_lines(source: str | None) -> list[tuple[str, int]]:
             zone = stack.pop()[1]
         inner = zone
         if zone != BOILER:
-            if name in DROP or _marked(found[2] or ""):
+            if name in DROP or _marked(name, piece[1 + len(name) : -1]):
                 inner = BOILER
             elif name in ("article", "main"):
                 inner = ARTICLE
@@ -132,19 +191,8 @@ def read_lines(source: str | None) -> list[tuple[str, int]]:
     return out
 
 
-def common_lines(a: np.ndarray, b: np.ndarray) -> list[int]:
-    """Indexes in `a` of a longest common subsequence with `b`, by bit-parallel dynamic programming.
-
-    Common beginnings and ends are taken first. One number of len(b) bits is kept for each rest line of `a`.
-    """
-    a, b = a.tolist(), b.tolist()
-    lo, hi = 0, 0
-    while lo < min(len(a), len(b)) and a[lo] == b[lo]:
-        lo += 1
-    while hi < min(len(a), len(b)) - lo and a[-1 - hi] == b[-1 - hi]:
-        hi += 1
-    found = [*range(lo), *range(len(a) - hi, len(a))]
-    x, y = a[lo : len(a) - hi], b[lo : len(b) - hi]
+def _steps(x: list, y: list) -> list[int]:
+    """After each line of `x`, one number whose bit j is 0 where a common subsequence with y[: j + 1] is longer than with y[:j]."""
     where: dict[int, int] = {}
     for j, line in enumerate(y):
         where[line] = where.get(line, 0) | 1 << j
@@ -154,6 +202,32 @@ def common_lines(a: np.ndarray, b: np.ndarray) -> list[int]:
         v = rows[-1]
         hit = v & where.get(line, 0)
         rows.append(((v + hit) | (v - hit)) & full)
+    return rows
+
+
+def _lengths(x: list, y: list) -> np.ndarray:
+    """Length of a longest common subsequence of `x` with every beginning of `y`, keeping one number at a time."""
+    where: dict[int, int] = {}
+    for j, line in enumerate(y):
+        where[line] = where.get(line, 0) | 1 << j
+    full = v = (1 << len(y)) - 1
+    for line in x:
+        hit = v & where.get(line, 0)
+        v = ((v + hit) | (v - hit)) & full
+    bits = np.unpackbits(np.frombuffer(v.to_bytes(len(y) // 8 + 1, "little"), np.uint8), bitorder="little")[: len(y)]
+    return np.append(0, np.cumsum(1 - bits.astype(np.int64)))
+
+
+def _common(x: list, y: list, shift: int) -> list[int]:
+    """Indexes of `x`, plus `shift`, of a longest common subsequence; long ones are halved where both halves give most."""
+    if not x or not y:
+        return []
+    if len(x) * len(y) > MOST_BITS and len(x) > 1:
+        mid = len(x) // 2
+        both = _lengths(x[:mid], y) + _lengths(x[mid:][::-1], y[::-1])[::-1]
+        k = int(both.argmax())
+        return _common(x[:mid], y[:k], shift) + _common(x[mid:], y[k:], shift + mid)
+    rows, found = _steps(x, y), []
     i, j = len(x), len(y)
     while i and j:
         if rows[i] >> (j - 1) & 1:
@@ -161,9 +235,23 @@ def common_lines(a: np.ndarray, b: np.ndarray) -> list[int]:
         elif not rows[i - 1] >> (j - 1) & 1:
             i -= 1
         else:
-            found.append(lo + i - 1)
+            found.append(shift + i - 1)
             i, j = i - 1, j - 1
-    return sorted(found)
+    return found[::-1]
+
+
+def common_lines(a: np.ndarray, b: np.ndarray) -> list[int]:
+    """Indexes in `a` of a longest common subsequence with `b`, by bit-parallel dynamic programming.
+
+    Common beginnings and ends are taken first. Memory is bounded: beyond MOST_BITS the rest is halved.
+    """
+    a, b = a.tolist(), b.tolist()
+    lo, hi = 0, 0
+    while lo < min(len(a), len(b)) and a[lo] == b[lo]:
+        lo += 1
+    while hi < min(len(a), len(b)) - lo and a[-1 - hi] == b[-1 - hi]:
+        hi += 1
+    return [*range(lo), *_common(a[lo : len(a) - hi], b[lo : len(b) - hi], lo), *range(len(a) - hi, len(a))]
 
 
 def line_hashes(lines: list[tuple[str, int]]) -> list[int]:
