@@ -1,11 +1,11 @@
-"""Session settings and the shared folder that long plans are cut in."""
+"""Session settings and the shared folder for scratch tables."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -57,15 +57,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path in the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared folder once and go on from the written rows.
-
-    Used where two branches must see the same placement of rows (see `operators.ordered`): a
-    recomputed sample could place them differently.
-    """
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)

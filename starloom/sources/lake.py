@@ -104,8 +104,12 @@ def publish(
     if location:
         replace_rows(df, location)
         at = current_path(spark, location)
-        if spark.catalog.tableExists(table):
-            spark.sql(f"DROP TABLE {table}")  # of the catalog's entry alone: an external table keeps its files
+        known = spark.catalog.getTable(table).tableType if spark.catalog.tableExists(table) else None
+        if known == "EXTERNAL" and spark.table(table).dtypes == df.dtypes:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{at.replace(chr(39), chr(92) + chr(39))}'")
+            spark.catalog.refreshTable(table)
+            return spark.table(table)
+        spark.sql(f"DROP TABLE IF EXISTS {table}")  # an external table keeps its files
         spark.catalog.createTable(table, path=at, source="parquet", schema=df.schema)
         return spark.table(table)
     if not spark.catalog.tableExists(table):

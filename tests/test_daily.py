@@ -177,6 +177,11 @@ def test_a_killed_refresh_leaves_the_old_table(spark, tmp_path, rows):
     assert rows(versions.read_table(spark, path)) == [(9,)]
     with pytest.raises(Exception):
         spark.read.parquet(path).count()  # nobody reads all versions as one
+    quoted = str(tmp_path / "it's")
+    for k in (1, 2):
+        assert rows(lake.publish(spark.range(k, k + 1), "refresh_test", "q", location=quoted)) == [(k,)]
+    assert rows(lake.publish(spark.range(3).selectExpr("id", "'x' AS other"), "refresh_test", "q", location=quoted).limit(0)) == []
+    assert spark.table("refresh_test.q").columns == ["id", "other"]
 
 
 def test_a_null_in_a_declared_column_stops_the_write(spark, tmp_path, rows):
