@@ -9,11 +9,18 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
-MOST_CHUNKS = 1_000_000  # remembered by a worker; beyond, it forgets and encodes anew
+from starloom.llm.words import lean
+
+MOST_BYTES = 64 << 20  # of chunks that a worker remembers, about; beyond, it forgets and encodes anew
+LONG_CHUNK = 256  # characters; longer ones aren't remembered
+ENTRY = 200  # bytes that a chunk takes besides its characters and ids: two objects and their place in the dictionary
 BLANK = "\t-\r \x85\xa0  -     　"
 LETTER = "A-Za-zÀ-ÖØ-öø-įı-ɏ"  # without the one whose lower case has a mark of its own
 # Places where any of the pre-tokenizers cuts, whatever comes before and after: behind a run of Latin letters
@@ -29,41 +36,79 @@ CHUNKS = {"word_bpe_49k.json": WORDS, "byte_bpe_50k.json": SPACED}
 
 
 class Encoder:
-    """Encode texts with one of the public tokenizer files, without special tokens."""
+    """Encode texts with one of the public tokenizer files, without adding special tokens.
+
+    With `marks`, the strings of special tokens that stand in a text become their ids, as the library does by itself;
+    without, they are ordinary text. A text with such a string is encoded as a whole.
+    """
 
-    def __init__(self, name: str):
+    def __init__(self, name: str, marks: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.pattern = CHUNKS[name]
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.marks = re.compile("|".join(map(re.escape, added))) if marks and added else None
+        self.tokenizer.encode_special_tokens = not marks
+        self.forget()
+
+    def forget(self) -> None:
+        """Give up what is remembered; done at the end of a task's rows, so that the worker's next one has the memory."""
         self.known: dict[str, bytes] = {}
+        self.size = 0
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; a null counts as empty and has none."""
+        if self.marks is not None and (whole := [k for k, t in enumerate(texts) if t and self.marks.search(t)]):
+            out = dict.fromkeys(whole)
+            for k in whole:
+                out[k] = np.array(self.tokenizer.encode(texts[k], add_special_tokens=False).ids, "<u4").tobytes()
+            rest = iter(self._encode([t for k, t in enumerate(texts) if k not in out]))
+            return [out[k] if k in out else next(rest) for k in range(len(texts))]
+        return self._encode(texts)
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
         cut = [self.pattern.findall(t or "") for t in texts]
         # `difference` walks the texts' chunks; `difference_update` would walk all that is known
         need = set().union(*cut).difference(self.known)
+        long: dict[str, bytes] = {}
         if need:
-            if len(self.known) + len(need) > MOST_CHUNKS:
-                self.known = {}
+            if self.size > MOST_BYTES:
+                self.forget()
                 need = set().union(*cut)
             new = sorted(need)
             for lo in range(0, len(new), 20_000):
                 part = new[lo : lo + 20_000]
                 found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-                self.known.update((c, b"".join([i.to_bytes(4, "little") for i in e.ids])) for c, e in zip(part, found, strict=True))
+                for c, e in zip(part, found, strict=True):
+                    ids = b"".join([i.to_bytes(4, "little") for i in e.ids])
+                    if len(c) > LONG_CHUNK:
+                        long[c] = ids
+                    else:
+                        self.known[c] = ids
+                        self.size += ENTRY + len(c) + len(ids)
+        if long:
+            return [b"".join([long[x] if x in long else self.known[x] for x in c]) for c in cut]
         get = self.known.__getitem__
         return [b"".join(map(get, c)) for c in cut]
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
+
+
+def encoder(name: str, marks: bool = False) -> Encoder:
+    """The worker's encoder for a file; the tokenizer lives as long as the worker."""
+    if (name, marks) not in _encoders:
+        _encoders[name, marks] = Encoder(name, marks)
+    return _encoders[name, marks]
 
 
-def encoder(name: str) -> Encoder:
-    """The worker's encoder for a file; it lives as long as the worker."""
-    if name not in _encoders:
-        _encoders[name] = Encoder(name)
-    return _encoders[name]
+def forgetting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches; behind the last, the worker's encoders forget and memory in reserve is given back."""
+    try:
+        yield from lean(batches)
+    finally:
+        for own in _encoders.values():
+            own.forget()
 
 
 def text_groups(texts: list[str | None], limit: int = 1 << 20):
