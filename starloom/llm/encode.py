@@ -9,16 +9,12 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
-import pyarrow as pa
 from tokenizers import Tokenizer
 
-from starloom.llm.words import lean
-
-MOST_BYTES = 64 << 20  # of chunks that a worker remembers, about; beyond, it forgets and encodes anew
+MOST_BYTES = 160 << 20  # of chunks that a worker remembers, about; beyond, it forgets and encodes anew
 LONG_CHUNK = 256  # characters; longer ones aren't remembered
 ENTRY = 200  # bytes that a chunk takes besides its characters and ids: two objects and their place in the dictionary
 BLANK = "\t-\r \x85\xa0  -     　"
@@ -47,18 +43,17 @@ class Encoder:
         self.pattern = CHUNKS[name]
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.marks = re.compile("|".join(map(re.escape, added))) if marks and added else None
+        self.marks = added if marks else []
         self.tokenizer.encode_special_tokens = not marks
         self.forget()
 
     def forget(self) -> None:
-        """Give up what is remembered; done at the end of a task's rows, so that the worker's next one has the memory."""
         self.known: dict[str, bytes] = {}
         self.size = 0
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; a null counts as empty and has none."""
-        if self.marks is not None and (whole := [k for k, t in enumerate(texts) if t and self.marks.search(t)]):
+        if whole := [k for k, t in enumerate(texts) if t and any(m in t for m in self.marks)]:
             out = dict.fromkeys(whole)
             for k in whole:
                 out[k] = np.array(self.tokenizer.encode(texts[k], add_special_tokens=False).ids, "<u4").tobytes()
@@ -102,15 +97,6 @@ def encoder(name: str, marks: bool = False) -> Encoder:
     return _encoders[name, marks]
 
 
-def forgetting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The same batches; behind the last, the worker's encoders forget and memory in reserve is given back."""
-    try:
-        yield from lean(batches)
-    finally:
-        for own in _encoders.values():
-            own.forget()
-
-
 def text_groups(texts: list[str | None], limit: int = 1 << 20):
     """Ranges of texts of about `limit` characters together; a longer text is a range of its own."""
     lo, size = 0, 0

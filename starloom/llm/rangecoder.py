@@ -25,7 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.encode import encoder, forgetting, text_groups
+from starloom.llm.encode import encoder, text_groups
+from starloom.llm.words import lean
 from starloom.session import scratch_path
 
 MAGIC = b"SLRC"
@@ -294,7 +295,7 @@ def write_blocks(docs: DataFrame, path: str, id_col: str, text_col: str, end_id:
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(n, "id").sortWithinPartitions("id", "text")
-    ordered.mapInArrow(lambda batches: forgetting(run(batches)), STORED).write.option("compression", "none").parquet(path)
+    ordered.mapInArrow(lambda batches: lean(run(batches)), STORED).write.option("compression", "none").parquet(path)
 
 
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:

@@ -16,7 +16,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.encode import encoder, forgetting, text_groups
+from starloom.llm.encode import encoder, text_groups
+from starloom.llm.words import lean
 from starloom.session import scratch_path
 
 BLOCK_IDS = 1 << 19  # 1 MB
@@ -62,7 +63,7 @@ def write_token_files(
         if len(rest):
             yield rows([rest.tobytes()], None, None)
 
-    docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(lambda batches: forgetting(run(batches)), STORED).write.option("compression", "zstd").parquet(path)
+    docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(lambda batches: lean(run(batches)), STORED).write.option("compression", "zstd").parquet(path)
 
 
 def scan_blocks(blocks: DataFrame, end_id: int = END_ID) -> DataFrame:
