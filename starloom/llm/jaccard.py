@@ -412,8 +412,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 content = pa.array([grams[at[i] : at[i + 1]].tobytes() for i in ok], pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns[:4], content], names=["fp", "grp", "blocks", "block", "grams"])
 
+    def with_mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, rows, grams in gram_sets(batch.column(1)):
+                if not len(rows):
+                    continue
+                n = int(rows[-1]) + 1
+                size, mark = fingerprints(rows, grams, n)
+                ok = np.flatnonzero(size > 0)
+                part = batch.column(1).slice(first, n).take(pa.array(ok))
+                yield pa.RecordBatch.from_arrays([pa.array(mark[ok]), part], names=["mark", "text"])
+
+    # a text comes to its set by the set's own hash, once however often it is there and whatever its ids are
     text = _only_chosen(docs.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).alias("text")), routed.select("id"))
-    content = routed.join(text, routed.id.eqNullSafe(text.d)).select("fp", "grp", "blocks", "block", "text")
+    text = text.mapInArrow(with_mark, "mark long, text string").dropDuplicates(["mark"])
+    content = routed.join(text, routed.fp == text.mark).select("fp", "grp", "blocks", "block", "text")
     content = content.mapInArrow(read_sets, "fp long, grp long, blocks int, block int, grams binary")
     content = content.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     content = content.select(
