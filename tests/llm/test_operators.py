@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -16,7 +18,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from starloom.llm import dedup, encode, jaccard, lm, packing, pages, quality, rangecoder, segmentation, tokenfiles, toxicity
+from starloom.llm import dedup, encode, jaccard, lm, packing, pages, quality, rangecoder, segmentation, tokenfiles, toxicity, words
 from starloom.llm.components import components
 
 SMALL = "/root/testdata/sf0.001"
@@ -75,6 +77,74 @@ def test_chunks_encode_like_the_whole_text(name, documents):
         assert np.frombuffer(one, "<u4").tolist() == own.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("name, end", [("word_bpe_49k.json", 49407), ("byte_bpe_50k.json", 50256)])
+def test_special_tokens_in_a_text(name, end):
+    own = Tokenizer.from_file(tokenizer_path(name))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", None, "plain text", "x<|endoftext|><|startoftext|>Y", "<|endoftext", "plain text"]
+    marked = [np.frombuffer(x, "<u4").tolist() for x in encode.Encoder(name, marks=True).encode(texts)]
+    assert marked == [own.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert marked[1] == [end]
+    plain = [np.frombuffer(x, "<u4").tolist() for x in encode.Encoder(name).encode(texts)]
+    assert end not in plain[1] and plain[3] == marked[3]
+
+
+def test_an_encoder_stays_small(monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choices("abcdef", k=rng.choice([3, 8, 300]))) for _ in range(60)) for _ in range(80)]
+    whole = encode.Encoder("word_bpe_49k.json").encode(texts)
+    monkeypatch.setattr(encode, "MOST_BYTES", 20_000)
+    small = encode.Encoder("word_bpe_49k.json")
+    got = [x for k in range(0, 80, 4) for x in small.encode(texts[k : k + 4])]
+    assert got == whole and small.size < 120_000 and max(map(len, small.known)) <= encode.LONG_CHUNK
+
+
+def test_regular_strings_have_hashes_of_their_own():
+    """Strings of two letters by the parity of ones, and their complements: equal for a polynomial modulo 2**64."""
+    for n in (64, 1024, 4096):
+        one = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+        other = one.translate(str.maketrans("ab", "ba"))
+        data = np.frombuffer((one + other).encode(), np.uint8)
+        h = words.hashes(data, np.array([0, n, 0]), np.array([n, 2 * n, n]))
+        assert h[0] != h[1] and h[0] == h[2]
+
+
+HISTOGRAMS = {
+    "three fit exactly": ({1366: 1000, 1365: 2000}, 1000),
+    "two and a half": ({2049: 300, 2047: 300, 1500: 400, 1000: 500}, 575),
+    "five lengths": ({1800: 1800, 1400: 1800, 1100: 1800, 900: 1800, 700: 1800}, 2740),
+    "near a third": ({1300 + k: 100 + k % 7 for k in range(130)}, 4620),
+    "few": ({3000: 5, 1097: 4, 1096: 7, 999: 3}, 8),
+    "whole": ({4096: 3, 1: 5}, 4),
+    "none": ({}, 0),
+}
+
+
+@pytest.mark.parametrize("name", list(HISTOGRAMS))
+def test_plans_are_as_good_as_best_fit(name):
+    lengths, most = HISTOGRAMS[name]
+    plan = packing.plan_patterns(lengths, 4096)
+    held = collections.Counter()
+    for p in plan:
+        assert sum(n * k for n, k in p.content) + p.room == 4096 and p.room >= 0
+        for n, k in p.content:
+            held[n] += k * p.times
+    assert held == collections.Counter(lengths)
+    assert packing.sequences(plan) <= min(most, packing.sequences(packing.plan_patterns(lengths, 4096, rounds=0)))
+
+
+def test_prices_find_the_best_configuration():
+    rng = random.Random(8)
+    for _ in range(60):
+        sizes = np.array(rng.sample(range(3, 40), 5))
+        value = np.array([rng.choice([0.0, rng.random()]) for _ in sizes])
+        most = np.array([rng.randint(0, 4) for _ in sizes])
+        limit = rng.randint(1, 90)
+        got = packing.price_configuration(sizes, value, most, limit)
+        assert (got <= most).all() and got @ sizes <= limit
+        every = [c for c in itertools.product(*[range(m + 1) for m in most]) if np.dot(c, sizes) <= limit]
+        assert got @ value >= max(np.dot(c, value) for c in every) - 1e-6
+
+
 # ---- 1
 
 
@@ -181,6 +251,51 @@ def test_longest_common_lines():
         assert all(a[k] in rest for k in at)
 
 
+def test_long_alignments_are_halved(monkeypatch):
+    rng = random.Random(13)
+    pairs = [[np.array([rng.randint(0, 6) for _ in range(rng.randint(0, 60))], np.int64) for _ in range(2)] for _ in range(150)]
+    whole = [len(pages.common_lines(a, b)) for a, b in pairs]
+    monkeypatch.setattr(pages, "MOST_BITS", 40)
+    for (a, b), n in zip(pairs, whole, strict=True):
+        at = pages.common_lines(a, b)
+        rest = iter(b.tolist())
+        assert len(at) == n and at == sorted(set(at)) and all(a[k] in rest for k in at)
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<body class="home has-sidebar"><p>text</p></body>', '<main class="content with-sidebar"><p>text</p></main>', '<article class="post related"><p>text</article>',
+        '<p class="share-price">text</p>', '<section id="search-algorithms">text</section>', '<p id="notice-of-death">text</p>', '<p title="a hidden gem">text</p>',
+        '<div class="entry-header"><h1>text</h1></div>', '<h2 class="banner">text</h2>', '<div data-nav="x" class=\'story\'>text</div>',
+    ],
+)
+def test_names_that_mark_no_boilerplate(page):
+    assert pages.article_text(pages.read_lines(page), []) == "text"
+
+
+@pytest.mark.parametrize(
+    "tag",
+    [
+        'div class="ad"', 'div class="cookie-notice"', 'div class="x site-header"', 'div id="sidebar"', 'div class="related-posts"', 'ul class="social-links"', 'p class="ad"',
+        'div role="navigation"', 'div class="commentList"', 'div hidden', 'div aria-hidden="true"', 'section aria-label="Main navigation"', "div class='newsletter-signup-form'",
+        'div class="ad-slot top"', 'div id="comments"',
+    ],
+)
+def test_names_that_mark_boilerplate(tag):
+    name = tag.split()[0]
+    assert pages.article_text(pages.read_lines(f"<article><p>text</p><{tag}>gone</{name}></article>"), []) == "text"
+
+
+@pytest.mark.parametrize("piece", ["<a x='", '<a x="', "<a x='y' ", "<!", "<a ", "<", "<a x='\">", "<p>x", "</", "<![CDATA[", "<!--"])
+@pytest.mark.parametrize("end", ["", ">", "'>", '"'])
+def test_broken_markup_is_read_in_linear_time(piece, end):
+    page = piece * (300_000 // len(piece)) + end
+    start = time.process_time()
+    pages.read_lines(page)
+    assert time.process_time() - start < 8
+
+
 def test_articles(spark):
     t = "<div>Menu of the site</div><div>Buy now</div>{}<div>Imprint</div>"
     body = lambda *x: t.format("".join(f"<p>{y}</p>" for y in x))
@@ -262,15 +377,40 @@ def test_filter_finds_what_was_put_in(spark):
     model = lm.build_filter(rows, lm.word_totals(rows), most_bits=1 << 20)
     _, _, row, h = next(lm.tokens(column))
     assert model.total == 50 * 8 and model.distinct == 4
-    unit = lm._key(h[:8], True)
-    for level, true in zip(model.levels(unit), [150, 150, 150, 150, 150, 150, 50, 50], strict=True):
-        assert lm.LEVELS[level - 1] <= true < lm.LEVELS[level]
-    two = lm._key(lm.pairs(row, h), False)[:8]
+    two = lm.pairs(row, h)[:8]
     for level, true in zip(model.levels(two), [50, 150, 100, 150, 100, 150, 50, 50], strict=True):
         assert lm.LEVELS[level - 1] <= true < lm.LEVELS[level]
+    count = np.array([150, 150, 150, 150, 150, 150, 50, 50])
+    alone, after, before = model.parts(h[:8], row[:8], count)
+    assert model.texts == 50 and before.tolist() == [50, 150, 150, 150, 150, 150, 150, 50]
+    assert after[[0, 7]] == pytest.approx(1.0, rel=0.1) and alone[6] == 50.5 / (400 + 2.5)
+    assert model.parts(h[:8], row[:8], count, own=1)[2].tolist() == [49, 149, 149, 149, 149, 149, 149, 49]
     assert (model.levels(np.arange(1, 1000, dtype=np.uint64) << np.uint64(50)) == 0).mean() > 0.95
 
 
+def test_a_small_filter_leaves_out_rare_pairs_and_is_never_full(spark):
+    rng = random.Random(2)
+    texts = ["x y z " * 3 + " ".join(f"w{rng.randrange(10**6)}" for _ in range(200)) for _ in range(60)]
+    rows = spark.createDataFrame([(i, t, True, i % 3) for i, t in enumerate(texts)], "id long, text string, train boolean, blk long")
+    totals = lm.word_totals(rows)
+    for most in (1 << 13, 1 << 20):
+        model = lm.build_filter(rows, totals, most_bits=most)
+        assert np.unpackbits(model.bits).mean() < 0.6
+        _, _, row, h = next(lm.tokens(pa.array(texts[:1], pa.large_string())))
+        found = model.levels(lm.pairs(row, h)) > 0
+        assert found[1:8].all() and (found.all() if most > 1 << 13 else found[10:].mean() < 0.4)
+
+
+def test_copies_of_training_texts_stand_out(spark, tmp_path):
+    rng = random.Random(6)
+    make = lambda: " ".join(rng.choices([f"w{k}" for k in range(400)], k=120))
+    own = [make() for _ in range(120)]
+    rows = [(i, t) for i, t in enumerate(own)] + [(1000 + i, own[i] if i % 2 else make()) for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/d")
+    got = {r.id: (r.score - r.base_score) / r.n_tokens for r in lm.score(spark, f"{tmp_path}/d", "doc_id < 1000").collect()}
+    assert min(got[1000 + i] for i in range(1, 40, 2)) > max(got[1000 + i] for i in range(0, 40, 2))
+
+
 # ---- 6
 
 
@@ -306,6 +446,27 @@ def test_near_duplicates(spark, documents, odd, empty):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == linked(documents)
 
 
+def test_ids_that_many_rows_share(spark):
+    """A third of the rows without an id, a third with one id, near copies among all of them."""
+    rng = random.Random(21)
+    base = [rng.choices("abcdefghijklmnopqrstuvwxyz", k=60) for _ in range(12)]
+    rows = []
+    for k in range(180):
+        words_ = list(rng.choice(base))
+        words_[rng.randrange(60)] = f"w{k % 9}"
+        rows.append(([None, 7, 100 + k][k % 3], " ".join(words_)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    keyed = [(k, t) for k, (_, t) in enumerate(rows)]
+    group = {k: c for k, _, c in linked(keyed)}
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        if i is not None:
+            least[group[k]] = min(least.get(group[k], i), i)
+    want = sorted((str(i), str(least.get(group[k]))) for k, (i, _) in enumerate(rows))
+    got = sorted((str(r.doc_id), str(r.component_id)) for r in jaccard.near_duplicates(df).collect())
+    assert got == want
+
+
 @pytest.mark.parametrize("block", [40, 2_000_000])
 def test_links_at_the_threshold(spark, block, monkeypatch):
     """Chains of texts that differ by single words, of all small sizes, in one block and in many."""
