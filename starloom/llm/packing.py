@@ -10,8 +10,8 @@ lengths (at most as many numbers as the sequence has tokens) decides which lengt
    joins the known ones if it is worth more. At the end everything is scaled so that every length is covered.
 2. The fractional cover is rounded down to whole sequences, and what is left is priced again.
 3. What is left then, and all small lengths, which the program leaves out, are placed best-fit by decreasing
-   length, into the room of rounded sequences first. Best-fit alone is tried too, and the plan with fewer
-   sequences is taken.
+   length, into the room of rounded sequences first. Where that takes more sequences than best-fit alone, smaller
+   shares of the cover are rounded too, and the rounding with the fewest sequences is taken.
 
 The plan is a list of patterns with multiplicities. Pieces are numbered within their length by counts per
 salted part and a running sum, so no length, however common, meets in one task, and each piece looks up its
@@ -36,6 +36,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 TOKENIZER = "word_bpe_49k.json"
 GROUPS = 96  # sizes that the linear program tells apart
 ROUNDS = 200
+SHARES = tuple(2.0**-k for k in range(11))  # of the cover, that are rounded where the whole takes too many sequences
 AGAIN = 4  # times that what rounding leaves is priced again, at most
 SMALL = 16  # lengths up to the sequence length over this are small
 PART_ROWS = 200_000  # pieces that are numbered together, about
@@ -150,19 +151,35 @@ class Pattern:
 
 
 def plan_patterns(lengths: dict[int, int], limit: int, groups: int = GROUPS, rounds: int = ROUNDS) -> list[Pattern]:
-    """Patterns that hold every piece of the histogram exactly once: the better of the program's and of best-fit's."""
+    """Patterns that hold every piece of the histogram exactly once.
+
+    The program always runs. Where rounding its whole cover takes more sequences than best-fit alone, other roundings are
+    tried, and the fewest sequences win; no rounds is best-fit alone.
+    """
     plain = _plan(lengths, limit, groups, 0)
-    if not rounds or sequences(plain) <= -(-sum(n * c for n, c in lengths.items()) // limit):
-        return plain  # no plan has fewer sequences than the tokens fill
-    return min(_plan(lengths, limit, groups, rounds), plain, key=sequences)
+    if not rounds:
+        return plain
+    covers: dict[bytes, list] = {}
+    found = _plan(lengths, limit, groups, rounds, covers=covers)
+    for share in SHARES:
+        for tight in (False, True):
+            if sequences(found) <= sequences(plain):
+                return found
+            found = min(found, _plan(lengths, limit, groups, rounds, share, tight, covers), key=sequences)
+    return found
 
 
 def sequences(patterns: list[Pattern]) -> int:
     return sum(p.times for p in patterns)
 
 
-def _plan(lengths: dict[int, int], limit: int, groups: int, rounds: int) -> list[Pattern]:
-    """Rounded configurations, as far as there are rounds, and best-fit for the rest."""
+def _plan(lengths: dict[int, int], limit: int, groups: int, rounds: int, share: float = 1.0, tight: bool = False, covers: dict | None = None) -> list[Pattern]:
+    """Rounded configurations, as far as there are rounds, and best-fit for the rest.
+
+    With a `share` under 1, that much of the cover is rounded, once; what is `tight` leaves no room and no small length
+    is used up for it. `covers` remembers the program's solutions for other roundings.
+    """
+    covers = {} if covers is None else covers
     left = {n: c for n, c in sorted(lengths.items(), reverse=True) if c}
     patterns: list[Pattern] = []
     if limit in left:
@@ -193,13 +210,13 @@ def _plan(lengths: dict[int, int], limit: int, groups: int, rounds: int) -> list
                 room = limit
                 for k, g in enumerate(wanted):
                     # the last place takes whatever length fills the sequence best
-                    n = longest(0, room) if k == len(wanted) - 1 else longest(int(low[g]), min(int(sizes[g]), room))
+                    n = longest(limit // SMALL if tight else 0, room) if k == len(wanted) - 1 else longest(int(low[g]), min(int(sizes[g]), room))
                     if not n:
                         break
                     content[n] = content.get(n, 0) + 1
                     stock[n] -= 1
                     room -= n
-                whole = sum(content.values()) == len(wanted)
+                whole = sum(content.values()) == len(wanted) and not (tight and room)
                 for n, k in content.items():
                     stock[n] += k
                 if not whole:  # a length is used up: what is left is priced again
@@ -211,9 +228,11 @@ def _plan(lengths: dict[int, int], limit: int, groups: int, rounds: int) -> list
                 laid += runs
             return laid
 
-        for _ in range(AGAIN if rounds else 0):
+        for _ in range((AGAIN if share == 1 else 1) if rounds else 0):
             count = np.array([stock[a + 1 : b + 1].sum() for a, b in zip(low, sizes, strict=True)])
-            if not sum([lay(config, int(use + 1e-6)) for config, use in solve_program(sizes, count, limit, rounds)]):
+            if count.tobytes() not in covers:
+                covers[count.tobytes()] = solve_program(sizes, count, limit, rounds)
+            if not sum([lay(config, int(use * share + 1e-6)) for config, use in covers[count.tobytes()]]):
                 break
         left = {int(n): int(stock[n]) for n in np.flatnonzero(stock)}
     else:
