@@ -8,7 +8,7 @@ import random
 import numpy as np
 import pytest
 
-from starloom.llm import packing
+from starloom.llm import lm, packing
 
 # ---- 4
 
@@ -35,3 +35,22 @@ def test_no_rounding_is_worse_than_best_fit(monkeypatch, kind):
             held[n] += k * p.times
     assert held == lengths and solved
     assert packing.sequences(plan) <= packing.sequences(packing.plan_patterns(lengths, 4096, rounds=0))
+
+
+# ---- 5
+
+
+def test_pairs_beyond_the_broadcast_filter_keep_their_levels(spark, tmp_path):
+    """Scores with a filter that has no room for rare pairs are those of a filter with room for all."""
+    rng = random.Random(5)
+    word = [f"w{k}" for k in range(3000)]
+    texts = ["x y z " * 3 + " ".join(rng.choices(word, k=150)) for _ in range(120)] + [None, "", "x y"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1000 + i, texts[i]) for i in range(0, 120, 3)] + [(None, "x y z"), (None, "x y z")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/d")
+    score = lambda most: sorted(
+        (r.id or -1, r.train, r.n_tokens, r.base_score, r.score) for r in lm.score(spark, f"{tmp_path}/d", "doc_id < 1000", most_bits=most).collect()
+    )
+    whole, bounded = score(1 << 28), score(1 << 14)
+    assert [r[:3] for r in bounded] == [r[:3] for r in whole] and len(whole) == len(rows)
+    apart = [abs(a[4] - b[4]) / a[2] for a, b in zip(whole, bounded, strict=True)]
+    assert max(apart) < 0.05 and float(np.mean(apart)) < 0.005
