@@ -8,7 +8,26 @@ import random
 import numpy as np
 import pytest
 
-from starloom.llm import lm, packing
+from starloom.llm import lm, packing, queries, segmentation
+
+# ---- 2
+
+
+def test_documents_and_turns_are_segmented_with_their_ids(spark, tmp_path):
+    docs = [(1, "the cat sat"), (2, None), (2, "the cat sat"), (None, "naïve 日本 " + "x" * 300), (3, "a")]
+    turns = [(1, 0, "the dog"), (1, 1, None)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(turns, "conv_id long, turn int, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = queries.op2_gumbel_segmentation(spark, str(tmp_path)).collect()
+    lat = segmentation.lattices()
+    want = collections.Counter()
+    for key, text in [((i, None, None), t) for i, t in docs] + [((None, c, n), t) for c, n, t in turns]:
+        want[key, lat.decode(lat.model.encode(text or ""))] += 1 if not text else 2
+    single = len(lat.sample(lat.normalize("a"), 2, random.Random(0))[0])
+    want[(3, None, None), "a"] = single
+    assert collections.Counter(((r.doc_id, r.conv_id, r.turn), lat.decode(list(r.ids))) for r in got) == want
+    assert all(r.decoded_ok and r.n_pieces == len(r.ids) for r in got)
+
 
 # ---- 4
 
