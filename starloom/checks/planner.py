@@ -145,7 +145,8 @@ def planned_verdicts(tables: dict[str, DataFrame], rules: list[Rule]) -> DataFra
     if unfolded:
         widest = 1 + max(uses.values(), default=-1)
         measures = ["repeated", "marks", *[f"orphans{u}" for u in range(widest)]]
-        items = [tables[t].select(F.inline(F.array_compact(F.array(*cols)))) for t, cols in unfolded.items()]
+        # items that don't apply become rows of nulls, which go again: cheaper than to test every array first
+        items = [tables[t].select(F.inline(F.array(*cols))).filter(F.col("domain").isNotNull()) for t, cols in unfolded.items()]
         keys = reduce(lambda a, b: a.unionAll(b), items).groupBy("domain", "key")
         by_key = keys.agg(
             F.count_if(F.col("use") == OWNED).alias("owned"),

@@ -69,6 +69,5 @@ def utc_timestamp(c: ColumnLike, pattern: str | None = None) -> Column:
 
 def utc_wall_clock(moment: ColumnLike) -> Column:
     """A timestamp as the zone-free time that clocks show in UTC, whatever the session's zone."""
-    seconds = (F.unix_micros(as_column(moment)).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    return epoch + F.unix_micros(as_column(moment)) * F.expr("INTERVAL '0.000001' SECOND")

@@ -100,7 +100,7 @@ def tag_terms(text: ColumnLike, terms: list[str] = SKILL_TERMS, whole_word: bool
         return tag_words(text, distinct)
 
     def found_in(lowered: Column) -> Column:
-        return F.array_compact(F.array(*[F.when(lowered.contains(t), F.lit(t)) for t in distinct]))
+        return F.filter(F.array(*[F.lit(t) for t in distinct]).cast("array<string>"), lambda t: lowered.contains(t))
 
     lowered = F.lower(F.coalesce(as_column(text), F.lit("")))
     return F.transform(F.array(lowered), found_in)[0]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 ColumnLike = Column | str
@@ -67,15 +70,21 @@ def slugify(c: ColumnLike) -> Column:
 
 def slug(name: str) -> str:
     """The same rule for a column name known while the plan is built (pivot headers, K19)."""
-    import re
-
     kept = re.sub("[^a-z0-9_]+", "", re.sub("[ -]+", "_", name.lower()))
     return "_" + kept if kept[:1].isdigit() else kept
 
 
 def mentions(columns: list[ColumnLike], pattern: str) -> Column:
-    """H5: does the lowered text of the columns together match `pattern`? Nulls count as empty."""
-    return F.lower(F.concat_ws(" ", *[as_column(c) for c in columns])).rlike(pattern)
+    """H5: does the lowered text of the columns together match `pattern`? Nulls count as empty.
+
+    A pattern of plain words is searched for in the bytes; others are regular expressions.
+    """
+    lowered = F.lower(F.concat_ws(" ", *[as_column(c) for c in columns]))
+    words = pattern.split("|")
+    if not all(re.fullmatch(r"\w+", w) for w in words):
+        return lowered.rlike(pattern)
+    # bound once, as in `tag_terms`
+    return F.transform(F.array(lowered), lambda text: reduce(lambda a, b: a | b, [text.contains(w) for w in words]))[0]
 
 
 def bool_to_text(c: ColumnLike) -> Column:
