@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 
 import numpy as np
 import public_tokenizers
@@ -31,6 +32,17 @@ SPACED = re.compile(rf" ?{_WORD}| ?{_SIGNS}| ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}
 CHUNKS = {"word_bpe_49k.json": WORDS, "byte_bpe_50k.json": SPACED}
 
 
+class Known(dict):
+    """The ids of chunks; those that it is asked for and doesn't have are noted, and have no ids yet."""
+
+    def __init__(self):
+        self.missing: list[str] = []
+
+    def __missing__(self, chunk: str) -> bytes:
+        self.missing.append(chunk)
+        return b""
+
+
 class Encoder:
     """Encode texts with one of the public tokenizer files, without adding special tokens.
 
@@ -48,7 +60,7 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, bytes] = {}
+        self.known = Known()
         self.size = 0
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -63,28 +75,37 @@ class Encoder:
 
     def _encode(self, texts: list[str | None]) -> list[bytes]:
         cut = [self.pattern.findall(t or "") for t in texts]
-        # `difference` walks the texts' chunks; `difference_update` would walk all that is known
-        need = set().union(*cut).difference(self.known)
+        # one walk over the chunks; only texts with a chunk that isn't known are put together again
+        out, late = [], []
+        get, missing = self.known.__getitem__, self.known.missing
+        missing.clear()
+        for k, c in enumerate(cut):
+            before = len(missing)
+            out.append(b"".join(map(get, c)))
+            if len(missing) > before:
+                late.append(k)
+        if not late:
+            return out
+        need = set(missing)
+        if self.size > MOST_BYTES:
+            self.forget()
+            need = set().union(*[cut[k] for k in late])
         long: dict[str, bytes] = {}
-        if need:
-            if self.size > MOST_BYTES:
-                self.forget()
-                need = set().union(*cut)
-            new = sorted(need)
-            for lo in range(0, len(new), 20_000):
-                part = new[lo : lo + 20_000]
-                found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-                for c, e in zip(part, found, strict=True):
-                    ids = b"".join([i.to_bytes(4, "little") for i in e.ids])
-                    if len(c) > LONG_CHUNK:
-                        long[c] = ids
-                    else:
-                        self.known[c] = ids
-                        self.size += ENTRY + len(c) + len(ids)
-        if long:
-            return [b"".join([long[x] if x in long else self.known[x] for x in c]) for c in cut]
-        get = self.known.__getitem__
-        return [b"".join(map(get, c)) for c in cut]
+        new = list(need)
+        for lo in range(0, len(new), 20_000):
+            part = new[lo : lo + 20_000]
+            found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+            for c, e in zip(part, found, strict=True):
+                ids = struct.pack(f"<{len(e)}I", *e.ids)
+                if len(c) > LONG_CHUNK:
+                    long[c] = ids
+                else:
+                    self.known[c] = ids
+                    self.size += ENTRY + len(c) + len(ids)
+        known = self.known
+        for k in late:
+            out[k] = b"".join([long[x] if x in long else known[x] for x in cut[k]] if long else map(known.__getitem__, cut[k]))
+        return out
 
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
