@@ -116,9 +116,10 @@ def mark_copies(
     state = state.select(F.col("digest").alias("s_digest"), F.col("place").alias("s_place"), F.col("n").alias("s_n"))
 
     text = F.coalesce(F.col(text_col), F.lit(""))
+    within = text_col in names  # then the text moves as one of the columns, and not twice
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in names]).alias("r"),
-        text.alias("text"),
+        *([] if within else [text.alias("text")]),
         digest(text).alias("digest"),
         F.struct(
             F.col(id_col).alias("id"),
@@ -127,7 +128,8 @@ def mark_copies(
         ).alias("place"),
     )
     matched = rows.join(state, rows.digest == state.s_digest).drop("s_digest")
-    matched = matched.withColumn("text", F.when(F.col("s_n") > 1, F.col("text")))  # only hits are compared
+    moved = F.coalesce(F.col("r").getField(text_col), F.lit("")) if within else F.col("text")
+    matched = matched.withColumn("text", F.when(F.col("s_n") > 1, moved))  # only hits are compared
     stored = scratch_path(spark, "dedup-rows")
     matched.write.parquet(stored)
     matched = spark.read.parquet(stored)
