@@ -16,6 +16,8 @@ from starloom.llm.queries import quality_rules, table, toxicity_model
 from starloom.session import scratch_path
 
 MOST_FILES = 50_000  # whose names are broadcast: some MB
+PAGE_BITS = 15  # rows of a page of bits: 4 KB
+MOST_PAGES = 1 << 14  # that are broadcast: 64 MB, of half a billion rows at least
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,6 +63,24 @@ def numbered(spark: SparkSession, docs: DataFrame, name: str) -> DataFrame:
     return joined.withColumn(name, F.col(number) * F.lit(1 << 40) + F.col(at)).drop(file, f"{file}_", at, number)
 
 
+def without(spark: SparkSession, rows: DataFrame, leave: DataFrame, key: str) -> DataFrame:
+    """`rows` but for those whose number `key` is among the numbers `member` of `leave`.
+
+    The numbers become pages of bits, one for each row of a file, which go to the rows; so no text is shuffled.
+    """
+    path = scratch_path(spark, "leaving-rows")
+    page = F.shiftright("member", PAGE_BITS).alias("leaving_page")
+    bits = F.expr(f"bitmap_construct_agg(member & {(1 << PAGE_BITS) - 1})").alias("leaving_bits")
+    leave.groupBy(page).agg(bits).write.parquet(path)
+    pages = spark.read.parquet(path)
+    if pages.count() <= MOST_PAGES:  # else the rows are shuffled to the pages
+        pages = F.broadcast(pages)
+    joined = rows.join(pages, F.shiftright(key, PAGE_BITS) == F.col("leaving_page"), "left")
+    byte = f"substring(leaving_bits, cast(shiftright({key} & {(1 << PAGE_BITS) - 1}, 3) as int) + 1, 1)"
+    leaves = F.expr(f"getbit(cast(conv(hex({byte}), 16, 10) as int), cast({key} & 7 as int)) = 1")
+    return joined.where(F.col("leaving_bits").isNull() | ~leaves)
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of linked documents, the one with the smallest id."""
     key = fresh("row_number", docs)
@@ -72,7 +92,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     first = Window.partitionBy("component").orderBy(F.col("id").asc_nulls_last(), "k")
     stays = groups.join(ids, F.col("member") == F.col("k")).withColumn("n", F.row_number().over(first)).where("n = 1")
     leave = groups.join(stays.select(F.col("k").alias("stays")), F.col("member") == F.col("stays"), "left_anti").select("member")
-    return rows.join(leave, F.col(key) == F.col("member"), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return without(spark, rows, leave, key).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.words import LOWER, hashes, lean, text_slices, words
+from starloom.llm.words import LOWER, give_back, hashes, lean, text_slices, words
 
 ORDER = 3
 DECAY = 0.75
@@ -300,7 +300,11 @@ def fit_frame(labelled: DataFrame, text_col: str, label_col: str, most_rows: int
         share = most_rows / n
         rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
     found = rows.toArrow()
-    return fit(found["text"].to_pylist(), found["label"].to_pylist(), **options)
+    try:
+        return fit(found["text"].to_pylist(), found["label"].to_pylist(), **options)
+    finally:  # the driver goes on, without the sample
+        del found
+        give_back()
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text", score_col: str = "score") -> DataFrame:
