@@ -1,9 +1,14 @@
-"""Texts of rows that stay near-duplicate removal aren't shuffled, and the driver gives the sample's memory back."""
+"""Texts of rows that stay aren't shuffled by near-duplicate removal; training texts ask for no pair that they know."""
 
+import random
+from dataclasses import replace
+
+import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from starloom.llm import toxicity
+from starloom.llm import lm, toxicity
 
 
 @pytest.mark.parametrize("most", [corpus_pipeline.MOST_PAGES, 0])
@@ -36,3 +41,33 @@ def test_a_fit_gives_its_memory_back(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "give_back", lambda: given.append(1))
     toxicity.fit_frame(spark.createDataFrame([("you fool", 1), ("a day", 0)], "text string, label int"), "text", "label")
     assert given == [1]
+
+
+@pytest.mark.parametrize("lowest", [2, 3])
+def test_training_texts_get_what_is_over_one(spark, tmp_path, lowest):
+    """Answers hold no level that is known without asking, and none that matters is missing."""
+    rng = random.Random(3)
+    word = [f"w{k}" for k in range(2500)]
+    texts = [" ".join(rng.choices(word, k=150)) for _ in range(90)]
+    docs = [(i, t) for i, t in enumerate(texts)] + [(1000 + i, " ".join(t.split()[:75]) + " w1 new") for i, t in enumerate(texts[:20])]
+    spark.createDataFrame(docs, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/d")
+    rows = lm.read_blocks(spark, f"{tmp_path}/d", "doc_id", "text", "doc_id < 1000")
+    totals = lm.word_totals(rows)
+    whole = lm.build_filter(rows, totals)
+    model = next(m for k in range(16, 10, -1) if (m := lm.build_filter(rows, totals, 1 << k)).lowest == 2)
+    model = replace(model, lowest=lowest)  # with 3, pairs of level 2 are asked for too
+    answers = lm.rare_levels(rows, model).collect()
+    levels = [x for r in answers for x in r.levels]
+    assert levels and all(x > 0 for x in levels)
+    asked_by_all = sum(len(r.levels) for r in answers)
+    column = pa.array([t for _, t in docs], pa.large_string())
+    known = sorted({(r.seg << lm.KEY_BITS) | int(k): x for r in answers for k, x in zip(lm._unpacked_keys(r.keys), r.levels, strict=True)}.items())
+    rare = np.array([k for k, _ in known], np.uint64), np.array([x for _, x in known], np.int64)
+    (first, n, row, h), = lm.tokens(column)
+    learnt, two = (np.arange(n) < 90)[row], lm.pairs(row, h)
+    unit, counts = np.unique(two[learnt], return_counts=True)
+    count = np.array([dict(zip(unit.tolist(), counts.tolist(), strict=True)).get(x, 0) for x in two.tolist()])
+    true = np.searchsorted(lm.LEVELS, count, "right")
+    got = np.maximum(model.all_levels(two, rare), learnt)
+    assert (got >= true).all() and (got == true).mean() >= (whole.levels(two) == true).mean() - 0.005
+    assert asked_by_all < ((true == 1) & learnt).sum() / 2  # a training text's single pairs don't travel back
