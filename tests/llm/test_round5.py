@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from starloom.llm import lm, toxicity
+from starloom.llm import encode, lm, toxicity
 
 
 @pytest.mark.parametrize("most", [corpus_pipeline.MOST_PAGES, 0])
@@ -71,3 +71,24 @@ def test_training_texts_get_what_is_over_one(spark, tmp_path, lowest):
     got = np.maximum(model.all_levels(two, rare), learnt)
     assert (got >= true).all() and (got == true).mean() >= (whole.levels(two) == true).mean() - 0.005
     assert asked_by_all < ((true == 1) & learnt).sum() / 2  # a training text's single pairs don't travel back
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_texts_cut_together_encode_like_whole_ones(name):
+    rng = random.Random(8)
+    pieces = [*"ab Zé'5- \n\t.ß", " ", "  ", "'s", "'re", "'LL", "don't", "\r\n", "É", "ɏ", "ı", "\x1c", "×", "İ", "中", "é", "\xa0", "12,3"]
+    own = encode.Encoder(name)
+    own.tokenizer.encode_special_tokens = True
+    for k in range(400):
+        some = pieces[: 20 if k % 2 else len(pieces)]
+        texts = ["".join(rng.choices(some, k=rng.randrange(25))) if rng.random() > 0.1 else None for _ in range(12)]
+        whole = [np.array(own.tokenizer.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert own.encode(texts) == whole
+
+
+def test_shared_chunks_are_looked_up_once(monkeypatch):
+    own = encode.Encoder("byte_bpe_50k.json")
+    asked = []
+    monkeypatch.setattr(own, "known", type("K", (encode.Known,), {"get": lambda self, c: asked.append(c), "__getitem__": lambda self, c: asked.append(c) or b""})())
+    own.encode(["the day the night"] * 50)
+    assert len(asked) == 4  # "the", " day", " the", " night"
