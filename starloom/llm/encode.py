@@ -20,6 +20,7 @@ from tokenizers import Tokenizer
 
 MOST_BYTES = 160 << 20  # of chunks that a worker remembers, about; beyond, it forgets and encodes anew
 LONG_CHUNK = 256  # characters; longer ones aren't remembered
+LINES = 256  # chunks that the tokenizer gets as one text
 ENTRY = 200  # bytes that a chunk takes besides its characters and ids: two objects and their place in the dictionary
 BLANK = "\t-\r \x85\xa0  -     　"
 LETTER = "A-Za-zÀ-ÖØ-öø-įı-ɏ"  # without the one whose lower case has a mark of its own
@@ -96,6 +97,10 @@ class Encoder:
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.marks = added if marks else []
         self.tokenizer.encode_special_tokens = not marks
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.widths = np.zeros(max(vocab.values()) + 1, np.int64)  # bytes of each token: one for each of its characters
+        for token, k in vocab.items():
+            self.widths[k] = len(token.removesuffix("</w>"))
         self.forget()
 
     def forget(self) -> None:
@@ -155,13 +160,34 @@ class Encoder:
         """The ids of chunks that aren't known; all but long ones are remembered."""
         for lo in range(0, len(chunks), 20_000):
             part = chunks[lo : lo + 20_000]
-            for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                ids = struct.pack(f"<{len(e)}I", *e.ids)
+            for c, ids in zip(part, self._ids(part), strict=True):
                 if len(c) <= LONG_CHUNK:
                     self.known[c] = ids
                     self.size += ENTRY + len(c) + len(ids)
                 yield ids
 
+    def _ids(self, chunks: list[str]) -> list[bytes]:
+        """The ids of chunks. Most go to the tokenizer as lines, which it cuts there, and are told apart by their tokens' bytes."""
+        spaced = self.pattern is SPACED
+        out: list[bytes | None] = [None] * len(chunks)
+        lines = [k for k, c in enumerate(chunks) if (spaced or c.isascii()) and not c[-1].isspace()]
+        if len(lines) > 1:
+            texts = ["".join([f"{chunks[k]}\n" for k in lines[a : a + LINES]]) for a in range(0, len(lines), LINES)]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            ids = np.array([x for part in found for x in part], "<u4")
+            ends = np.append(0, np.cumsum(self.widths[ids]))
+            size = np.array([len(chunks[k].encode()) for k in lines], np.int64)
+            stop = np.cumsum(size + spaced) - spaced  # where white space has ids, a line's end is a token of one byte
+            first, last = np.searchsorted(ends, stop - size, "left"), np.searchsorted(ends, stop, "left")
+            if ends[-1] == stop[-1] + spaced and (ends[first] == stop - size).all() and (ends[last] == stop).all():
+                content = ids.tobytes()
+                for k, a, b in zip(lines, (4 * first).tolist(), (4 * last).tolist(), strict=True):
+                    out[k] = content[a:b]
+        rest = [k for k, x in enumerate(out) if x is None]
+        for k, e in zip(rest, self.tokenizer.encode_batch_fast([chunks[k] for k in rest], add_special_tokens=False) if rest else [], strict=True):
+            out[k] = struct.pack(f"<{len(e)}I", *e.ids)
+        return out
+
     def _apart(self, texts: list[str | None]) -> list[bytes]:
         """The ids of any texts."""
         cut = [self.pattern.findall(t or "") for t in texts]

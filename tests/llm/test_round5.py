@@ -92,3 +92,17 @@ def test_shared_chunks_are_looked_up_once(monkeypatch):
     monkeypatch.setattr(own, "known", type("K", (encode.Known,), {"get": lambda self, c: asked.append(c), "__getitem__": lambda self, c: asked.append(c) or b""})())
     own.encode(["the day the night"] * 50)
     assert len(asked) == 4  # "the", " day", " the", " night"
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+@pytest.mark.parametrize("wrong", [False, True])
+def test_new_chunks_go_to_the_tokenizer_as_lines(name, wrong):
+    own = encode.Encoder(name)
+    if wrong:  # ids that can't be told apart are those of chunks alone
+        own.widths[:] = 1
+    plain, calls = own.tokenizer, []
+    chunks = ["the", "night", "'s", "don't", "12", "...", "é", "\n", "中", "x'5", "AB", "ab1" * 200]
+    whole = [np.array(plain.encode(c, add_special_tokens=False).ids, "<u4").tobytes() for c in chunks]
+    own.tokenizer = type("T", (), {"encode_batch_fast": lambda self, part, **k: (calls.append(len(part)), plain.encode_batch_fast(part, **k))[1]})()
+    assert own._ids(chunks) == whole
+    assert calls[0] == 1 and (wrong or sum(calls) < len(chunks) / 2)
