@@ -18,7 +18,7 @@ import public_tokenizers
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-MOST_BYTES = 160 << 20  # of chunks that a worker remembers, about; beyond, it forgets and encodes anew
+MOST_BYTES = 112 << 20  # of chunks that a worker remembers, about; beyond, it forgets and encodes anew
 LONG_CHUNK = 256  # characters; longer ones aren't remembered
 LINES = 256  # chunks that the tokenizer gets as one text
 ENTRY = 200  # bytes that a chunk takes besides its characters and ids: two objects and their place in the dictionary
@@ -125,18 +125,17 @@ class Encoder:
         kind = _KIND[data]
         odd = _odd_rows(data, kind, at)
         if not len(odd):
-            return self._together(data, kind, at)
+            return self._together(data, _cuts(data, kind, at, self.pattern is SPACED), at)
         late = set(odd.tolist())
         rest = iter(self._encode([t for k, t in enumerate(texts) if k not in late]) if len(late) < len(texts) else [])
         found = dict(zip(odd.tolist(), self._apart([texts[k] for k in odd]), strict=True))
         return [found[k] if k in late else next(rest) for k in range(len(texts))]
 
-    def _together(self, data: np.ndarray, kind: np.ndarray, at: np.ndarray) -> list[bytes]:
-        """The ids of texts without odd bytes: `data` cut at `at`."""
+    def _together(self, data: np.ndarray, start: np.ndarray, at: np.ndarray) -> list[bytes]:
+        """The ids of texts without odd bytes: `data` from `at` on, with chunks from `start` on."""
         if not len(data):
             return [b""] * (len(at) - 1)
         spaced = self.pattern is SPACED
-        start = _cuts(data, kind, at, spaced)
         edges = pa.py_buffer(np.append(start, len(data)))
         chunks = pa.Array.from_buffers(pa.large_string(), len(start), [None, edges, pa.py_buffer(data)]).dictionary_encode()
         names = chunks.dictionary.to_pylist()
@@ -224,7 +223,7 @@ def encoder(name: str, marks: bool = False) -> Encoder:
     return _encoders[name, marks]
 
 
-def text_groups(texts: list[str | None], limit: int = 1 << 22):
+def text_groups(texts: list[str | None], limit: int = 1 << 19):
     """Ranges of texts of about `limit` characters together; a longer text is a range of its own."""
     lo, size = 0, 0
     for k, t in enumerate(texts):
