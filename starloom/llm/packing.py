@@ -65,6 +65,7 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, limit: int, end_id
                     [batch.column(0).take(pa.array(owner)), pa.array(number, pa.int32()), *[pa.array(flat[:, k]) for k in range(3)]],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
+        encoder(tokenizer, marks=True).forget()  # the worker stays, and later stages have its memory
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(lambda batches: lean(run(batches)), PIECES)
 

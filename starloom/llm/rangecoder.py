@@ -289,6 +289,7 @@ def write_blocks(docs: DataFrame, path: str, id_col: str, text_col: str, end_id:
                     if size >= block_ids:
                         yield record()
                         held, names, size, block = [], [], 0, block + 1
+        encoder(tokenizer, marks=True).forget()  # the worker stays, and later stages have its memory
         if held:
             yield record()
 

@@ -60,6 +60,7 @@ def write_token_files(
                     yield rows([rest[k * block_ids : (k + 1) * block_ids].tobytes() for k in range(full)], None, None)
                     block += full
                     rest = rest[full * block_ids :]
+        encoder(tokenizer).forget()  # the worker stays, and later stages have its memory
         if len(rest):
             yield rows([rest.tobytes()], None, None)
 

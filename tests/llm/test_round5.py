@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from starloom.llm import encode, lm, toxicity
+from starloom.llm import encode, lm, packing, toxicity
 
 
 @pytest.mark.parametrize("most", [corpus_pipeline.MOST_PAGES, 0])
@@ -106,3 +106,13 @@ def test_new_chunks_go_to_the_tokenizer_as_lines(name, wrong):
     own.tokenizer = type("T", (), {"encode_batch_fast": lambda self, part, **k: (calls.append(len(part)), plain.encode_batch_fast(part, **k))[1]})()
     assert own._ids(chunks) == whole
     assert calls[0] == 1 and (wrong or sum(calls) < len(chunks) / 2)
+
+
+def test_an_idle_worker_remembers_no_chunks(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a day")], "doc_id long, text string")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: run)
+    run = packing.token_pieces(docs, "doc_id", "text", 4096, 1, "word_bpe_49k.json")
+    rows = run(iter([pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["a day", "a night"]})]))
+    own = encode.encoder("word_bpe_49k.json", marks=True)
+    assert next(rows).num_rows == 2 and own.known
+    assert not list(rows) and not own.known and own.size == 0
