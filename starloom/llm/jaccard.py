@@ -26,12 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.components import components
-from starloom.llm.words import LOWER, hashes, mix, text_slices, windows, words
+from starloom.llm.words import LOWER, give_back, hashes, lean, mix, text_slices, windows, words
 from starloom.session import scratch_path
 
 GRAM = 5
 RATIO = 1.5  # of the upper bounds of neighbouring size classes
 MOST_MARKS = 1 << 27  # bits of the bitmap of candidates: 16 MB
+SLICE_BYTES = 1 << 18  # of texts whose n-grams are made together, about; they take some fifty times that
 BLOCK_GRAMS = 2_000_000  # n-grams of the sets that one task holds at a time, about
 
 
@@ -50,7 +51,7 @@ def gram_sets(column: pa.Array, size: int = GRAM) -> Iterator[tuple[int, np.ndar
 
     A text with fewer than `size` words has its whole word sequence as its one n-gram, one without words none.
     """
-    for first, data, offsets in text_slices(column):
+    for first, data, offsets in text_slices(column, SLICE_BYTES):
         data = LOWER[data]
         n = len(offsets) - 1
         start, end, row = words(data, offsets)
@@ -305,7 +306,7 @@ def set_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 size[first : first + n], mark[first : first + n] = fingerprints(rows, grams, n)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), pa.array(mark)], names=["id", "n", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, n long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(lambda batches: lean(run(batches)), "id long, n long, fp long")
 
 
 def _candidates(docs: DataFrame, text_col: str) -> DataFrame:
@@ -338,16 +339,17 @@ def _candidates(docs: DataFrame, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(edges[0]), pa.array(edges[1])], names=["a", "b"])
             sig, hub = s[-1], hubs[-1]
 
-    signed = docs.select(F.col(text_col).alias("text")).mapInArrow(sign, "sig long, fp long")
+    signed = docs.select(F.col(text_col).alias("text")).mapInArrow(lambda batches: lean(sign(batches)), "sig long, fp long")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return signed.repartition(n, "sig").sortWithinPartitions("sig", "fp").mapInArrow(stars, "a long, b long").distinct()
+    return signed.repartition(n, "sig").sortWithinPartitions("sig", "fp").mapInArrow(lambda batches: lean(stars(batches)), "a long, b long").distinct()
 
 
-def _only_chosen(rows: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Rows (d, text) whose d may be among the ids of `chosen`: all that are, and few others.
+def _chosen_texts(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """mark (the hash of the text's set) and text of rows (d, text) whose d may be among the ids of `chosen`: of all that are, and few others.
 
     A bitmap of hashed ids, of at most MOST_MARKS bits, goes to the workers, so that texts without a candidate
     are left out before the join shuffles any. Where it is too small for the ids it lets more rows through.
+    Both happen in one walk over the rows, as each of two would hold a Python worker of its own in every task.
     """
     spark = rows.sparkSession
     size = max(1 << 15, min(MOST_MARKS, 1 << (16 * chosen.count()).bit_length()))
@@ -363,14 +365,22 @@ def _only_chosen(rows: DataFrame, chosen: DataFrame) -> DataFrame:
         marks[page * 4096 : (page + 1) * 4096] = np.frombuffer(bits, np.uint8)
     shared = spark.sparkContext.broadcast(marks)
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def with_mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column(2).to_numpy()
+            at = batch.column(1).to_numpy()
             on = (shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1
-            yield batch.select(["d", "text"]).filter(pa.array(on.astype(bool)))
+            texts = batch.column(0).filter(pa.array(on.astype(bool)))
+            for first, own, grams in gram_sets(texts):
+                if not len(own):
+                    continue
+                n = int(own[-1]) + 1
+                sizes, mark = fingerprints(own, grams, n)
+                ok = np.flatnonzero(sizes > 0)
+                part = texts.slice(first, n).take(pa.array(ok))
+                yield pa.RecordBatch.from_arrays([pa.array(mark[ok]), part], names=["mark", "text"])
 
-    placed = rows.select("d", "text", F.pmod(F.xxhash64("d"), F.lit(size)).alias("at"))
-    return placed.mapInArrow(keep, "d long, text string")
+    placed = rows.select("text", F.pmod(F.xxhash64("d"), F.lit(size)).alias("at"))
+    return placed.mapInArrow(lambda batches: lean(with_mark(batches)), "mark long, text string")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -412,22 +422,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 content = pa.array([grams[at[i] : at[i + 1]].tobytes() for i in ok], pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns[:4], content], names=["fp", "grp", "blocks", "block", "grams"])
 
-    def with_mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, rows, grams in gram_sets(batch.column(1)):
-                if not len(rows):
-                    continue
-                n = int(rows[-1]) + 1
-                size, mark = fingerprints(rows, grams, n)
-                ok = np.flatnonzero(size > 0)
-                part = batch.column(1).slice(first, n).take(pa.array(ok))
-                yield pa.RecordBatch.from_arrays([pa.array(mark[ok]), part], names=["mark", "text"])
-
     # a text comes to its set by the set's own hash, once however often it is there and whatever its ids are
-    text = _only_chosen(docs.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).alias("text")), routed.select("id"))
-    text = text.mapInArrow(with_mark, "mark long, text string").dropDuplicates(["mark"])
+    text = _chosen_texts(docs.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).alias("text")), routed.select("id"))
+    text = text.dropDuplicates(["mark"])
     content = routed.join(text, routed.fp == text.mark).select("fp", "grp", "blocks", "block", "text")
-    content = content.mapInArrow(read_sets, "fp long, grp long, blocks int, block int, grams binary")
+    content = content.mapInArrow(lambda batches: lean(read_sets(batches)), "fp long, grp long, blocks int, block int, grams binary")
     content = content.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     content = content.select(
         "fp",
@@ -456,6 +455,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             on = roots != np.arange(len(at))
             out_a.append(fp[at][on])
             out_b.append(fp[at][roots[on]])
+        give_back()
         none = np.zeros(0, np.int64)
         return pa.table({"a": np.concatenate(out_a) if out_a else none, "b": np.concatenate(out_b) if out_b else none})
 

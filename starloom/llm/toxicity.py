@@ -236,9 +236,14 @@ def choose_landmarks(columns: list[pa.Array], toxic: np.ndarray, most: int) -> l
     if not sets:
         return []
     h, bad = (np.concatenate(x) for x in zip(*sets, strict=True))
-    unique, which = np.unique(h, return_inverse=True)
-    a = np.bincount(which, bad).astype(float)
-    b = np.bincount(which, ~bad).astype(float)
+    if not len(h):
+        return []
+    order = np.argsort(h)
+    h, bad = h[order], bad[order]
+    edge = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+    unique = h[edge]
+    a = np.add.reduceat(bad, edge, dtype=np.int64).astype(float)
+    b = np.diff(np.append(edge, len(h))) - a
     n1, n0 = float(toxic.sum()), float((~toxic).sum())
     share = (a + b) / (n1 + n0)
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -300,10 +305,12 @@ def fit_frame(labelled: DataFrame, text_col: str, label_col: str, most_rows: int
         share = most_rows / n
         rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
     found = rows.toArrow()
+    texts, toxic = found["text"].to_pylist(), found["label"].to_pylist()
+    del found  # else the sample is held twice during the fit
     try:
-        return fit(found["text"].to_pylist(), found["label"].to_pylist(), **options)
+        return fit(texts, toxic, **options)
     finally:  # the driver goes on, without the sample
-        del found
+        del texts, toxic
         give_back()
 
 
