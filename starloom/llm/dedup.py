@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.session import scratch_path
+from starloom.sources.versions import delete_folder
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -167,11 +168,15 @@ def mark_copies(
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that stay, with its columns. The rows are written once, since locators need files."""
+    """The rows of `docs` that stay, with its columns.
+
+    The rows are written once, since locators need files; that copy goes when the rows are beside their locators.
+    """
     stored = scratch_path(spark, "dedup-input")
     docs.write.parquet(stored)
     prefix = "dup_"
     while any(c.lower().startswith(prefix) for c in docs.columns):
         prefix = f"_{prefix}"
     marked = mark_copies(spark, stored, id_col, text_col, prefix=prefix)
+    delete_folder(spark, stored)  # what `marked` reads was written from it
     return marked.where(F.col(f"{prefix}kept")).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -5,7 +5,10 @@ A text's n-gram set is kept in one global order, that of the n-grams' hashes. Th
 1. Routing. The order is cut into so many segments that two linked sets must have an equal segment (more
    segments than n-grams in which they can differ). Equal segments of two or more n-grams give candidates;
    sets with too few such segments also meet by single n-grams of their prefix. A passage that many texts
-   share fills whole segments of few of them, so it makes few candidates. Equal sets meet as one.
+   share fills whole segments of few of them, so it makes few candidates. Equal sets meet as one. Candidates that
+   hang together by what many texts share can be one component of millions of n-grams, though few are links; such a
+   component is looked at again: the sets of each signature are compared by parities of their n-grams, which two linked
+   sets can't differ in by more than they differ themselves, and what is left falls into small components.
 2. Prefix-tree join. The sets of a candidate component come together, large components in pairs of blocks. The
    sets are stored in a path-compressed trie; the traversal shares the overlap of a common beginning, and
    leaves a subtree as soon as the n-grams that remain on either side can't give the required overlap, or
@@ -22,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +38,9 @@ RATIO = 1.5  # of the upper bounds of neighbouring size classes
 MOST_MARKS = 1 << 27  # bits of the bitmap of candidates: 16 MB
 SLICE_BYTES = 1 << 18  # of texts whose n-grams are made together, about; they take some fifty times that
 BLOCK_GRAMS = 2_000_000  # n-grams of the sets that one task holds at a time, about
+PARITIES = 512  # of a set: bits that say by which parts of the hashes its n-grams are odd in number
+MOST_PARITIES = 1200  # n-grams of a set whose parities still tell something
+MOST_COMPARED = 20_000  # sets of one signature that are compared each with each
 
 
 def _bounds() -> np.ndarray:
@@ -118,6 +125,43 @@ def signatures(rows: np.ndarray, grams: np.ndarray, size: np.ndarray) -> tuple[n
     return np.concatenate(out_row), np.concatenate(out_sig).view(np.int64)
 
 
+def parities(rows: np.ndarray, grams: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """PARITIES bits of each set, or nothing for an empty one and for one of over MOST_PARITIES n-grams."""
+    out = [b""] * len(size)
+    for lo in range(0, len(size), 1024):
+        some = size[lo : lo + 1024]
+        a, b = np.searchsorted(rows, (lo, lo + len(some)))
+        odd = np.bincount((rows[a:b] - lo) * PARITIES + (grams[a:b] % np.uint64(PARITIES)).astype(np.int64), minlength=len(some) * PARITIES) & 1
+        packed = np.packbits(odd.astype(np.uint8).reshape(len(some), PARITIES), axis=1)
+        for i in np.flatnonzero((some > 0) & (some <= MOST_PARITIES)):
+            out[lo + i] = packed[i].tobytes()
+    return out
+
+
+def near_pairs(size: np.ndarray, bits: np.ndarray, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that connect all sets that may be linked, directly or over others; sizes and parities rule the rest out.
+
+    Linked sets have at most a ninth of their n-grams, counted together, for themselves, and differ in no more parities.
+    `marked`: which sets have parities.
+    """
+    left, out_a, out_b = np.arange(len(size)), [], []
+    while len(left) > 1:
+        stack, left = [left[0]], left[1:]
+        while stack and len(left):
+            i = stack.pop()
+            n = size[left]
+            ok = (4 * n <= 5 * size[i]) & (4 * size[i] <= 5 * n)
+            if marked[i]:
+                ok &= (9 * np.bitwise_count(bits[left] ^ bits[i]).sum(1, dtype=np.int64) <= n + size[i]) | ~marked[left]
+            hit = left[ok]
+            out_a.append(hit)
+            out_b.append(np.full(len(hit), i))
+            left = left[~ok]
+            stack.extend(hit)
+    none = np.zeros(0, np.int64)
+    return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (none, none)
+
+
 class Union:
     """Which of n things are connected."""
 
@@ -296,21 +340,23 @@ def connected(sets: list[np.ndarray], left: np.ndarray | None = None) -> np.ndar
 
 
 def set_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, n, fp of every row."""
+    """id, n, fp and parities of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size, mark = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
+            bits = [b""] * len(batch)
             for first, rows, grams in gram_sets(batch.column(1)):
                 n = int(rows[-1]) + 1 if len(rows) else 0
                 size[first : first + n], mark[first : first + n] = fingerprints(rows, grams, n)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), pa.array(mark)], names=["id", "n", "fp"])
+                bits[first : first + n] = parities(rows, grams, size[first : first + n])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), pa.array(mark), pa.array(bits, pa.binary())], names=["id", "n", "fp", "bits"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(lambda batches: lean(run(batches)), "id long, n long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(lambda batches: lean(run(batches)), "id long, n long, fp long, bits binary")
 
 
 def _candidates(docs: DataFrame, text_col: str) -> DataFrame:
-    """a, b: fingerprints of sets with a common signature, as a star around the smallest of each signature."""
+    """sig, a, b: fingerprints of sets with a common signature, as a star around the smallest of each signature."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -326,7 +372,7 @@ def _candidates(docs: DataFrame, text_col: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(mark[row])], names=["sig", "fp"])
 
     def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sig = hub = None
+        sig = hub = fp = None
         for batch in batches:
             s, f = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             if not len(s):
@@ -334,14 +380,90 @@ def _candidates(docs: DataFrame, text_col: str) -> DataFrame:
             new = np.append(s[0] != sig, s[1:] != s[:-1])
             at = np.maximum.accumulate(np.where(new, np.arange(len(s)), -1))
             hubs = np.where(at < 0, hub if hub is not None else 0, f[np.maximum(at, 0)])
-            on = f != hubs
-            edges = np.unique(np.stack([f[on], hubs[on]]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(edges[0]), pa.array(edges[1])], names=["a", "b"])
-            sig, hub = s[-1], hubs[-1]
+            on = (f != hubs) & (new | np.append(f[0] != fp, f[1:] != f[:-1]))  # a repeated set is one
+            yield pa.RecordBatch.from_arrays([pa.array(x[on]) for x in (s, f, hubs)], names=["sig", "a", "b"])
+            sig, hub, fp = s[-1], hubs[-1], f[-1]
 
     signed = docs.select(F.col(text_col).alias("text")).mapInArrow(lambda batches: lean(sign(batches)), "sig long, fp long")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return signed.repartition(n, "sig").sortWithinPartitions("sig", "fp").mapInArrow(lambda batches: lean(stars(batches)), "a long, b long").distinct()
+    return signed.repartition(n, "sig").sortWithinPartitions("sig", "fp").mapInArrow(lambda batches: lean(stars(batches)), "sig long, a long, b long")
+
+
+def _refined(shared: DataFrame, big: DataFrame, table: DataFrame) -> DataFrame:
+    """a, b: candidates among the sets `big` (fp), as pairs that connect those of a signature that may be linked.
+
+    `shared` are stars of signatures, whose hubs are in the components of their other members.
+    """
+    spark = shared.sparkSession
+    mine = shared.join(big, F.col("a") == F.col("fp"), "left_semi")
+    members = mine.select("sig", F.col("a").alias("member")).union(mine.select("sig", F.col("b").alias("member")).distinct())
+    marks = table.where("n > 0").join(big, "fp", "left_semi").dropDuplicates(["fp"]).select("fp", "n", "bits")
+
+    def compare(sig: np.ndarray, fp: np.ndarray, size: np.ndarray, bits: pa.Array) -> pa.RecordBatch:
+        """Whole signatures, ascending."""
+        out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        edge = np.append(np.flatnonzero(np.append(True, sig[1:] != sig[:-1])), len(sig))
+        marked = pc.binary_length(bits).to_numpy(zero_copy_only=False) > 0
+        content = np.zeros((len(sig), PARITIES // 64), np.uint64)
+        if marked.any():
+            content[marked] = np.frombuffer(b"".join(bits.filter(pa.array(marked)).to_pylist()), np.uint64).reshape(-1, PARITIES // 64)
+        for a, b in zip(edge[:-1], edge[1:], strict=True):
+            _, one = np.unique(fp[a:b], return_index=True)
+            at = a + one
+            if len(at) > MOST_COMPARED:
+                x, y = np.arange(1, len(at)), np.zeros(len(at) - 1, np.int64)
+            else:
+                x, y = near_pairs(size[at], content[at], marked[at])
+            out_a.append(fp[at[x]])
+            out_b.append(fp[at[y]])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # the last ones, which may go on with a signature
+
+        def whole(up_to: int | None = None) -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held).slice(0, up_to).combine_chunks()
+            columns = [rows.column(c).to_numpy() for c in range(3)]
+            return compare(*columns, rows.column(3).combine_chunks())
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sig = batch.column(0).to_numpy()
+            start = int(np.searchsorted(sig, sig[-1]))  # of the batch's last signature
+            if start or (held and held[-1].column(0)[-1].as_py() != sig[0]):
+                held.append(batch.slice(0, start))
+                yield whole()
+                held.clear()
+            held.append(batch.slice(start))
+        if held:
+            yield whole()
+
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    joined = members.join(marks, F.col("member") == F.col("fp")).select("sig", "member", "n", "bits")
+    dealt = joined.repartition(n, "sig").sortWithinPartitions("sig")
+    return dealt.mapInArrow(lambda batches: lean(run(batches)), "a long, b long").where("a <> b")
+
+
+def _routed(shared: DataFrame, table: DataFrame, sets: DataFrame) -> DataFrame:
+    """fp, id, n, grp, blocks: sets with the component that they are a candidate in, and how many blocks it takes."""
+    spark = table.sparkSession
+
+    def weighed(routed: DataFrame) -> DataFrame:
+        weight = routed.groupBy("grp").agg(F.sum("n").alias("w")).select(F.col("grp").alias("g"), F.ceil(F.col("w") / BLOCK_GRAMS).cast("int").alias("blocks"))
+        path = scratch_path(spark, "jaccard-groups")
+        routed.join(weight, F.col("grp") == F.col("g")).drop("g").write.parquet(path)
+        return spark.read.parquet(path)
+
+    def of_groups(groups: DataFrame) -> DataFrame:
+        return groups.join(sets, groups.node == sets.fp).select("fp", "id", "n", F.col("component").alias("grp"))
+
+    routed = weighed(of_groups(components(shared.select("a", "b"))))
+    big = routed.where("blocks > 1")
+    if big.isEmpty():
+        return routed
+    parted = weighed(of_groups(components(_refined(shared, big.select("fp"), table))))
+    return routed.where("blocks = 1").union(parted)
 
 
 def _chosen_texts(rows: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -397,15 +519,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return spark.read.parquet(path)
 
     table = written(set_table(docs, id_col, text_col), "jaccard-sets")
-    groups = components(_candidates(docs, text_col))
+    shared = written(_candidates(docs, text_col), "jaccard-shared")
     sets = table.where("n > 0").groupBy("fp").agg(F.min("id").alias("id"), F.max("n").alias("n"))
-    routed = written(
-        groups.join(sets, groups.node == sets.fp).select("fp", "id", "n", F.col("component").alias("grp")), "jaccard-groups"
-    )
-    weight = routed.groupBy("grp").agg(F.sum("n").alias("w")).withColumn("blocks", F.ceil(F.col("w") / BLOCK_GRAMS).cast("int"))
-    total = weight.agg(F.sum(F.when(F.col("blocks") == 1, F.col("w")))).first()[0] or 0
+    routed = _routed(shared, table, sets)
+    total = routed.where("blocks = 1").agg(F.sum("n")).first()[0] or 0
     bundles = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-2 * total // BLOCK_GRAMS))
-    routed = routed.join(weight.select(F.col("grp").alias("g"), "blocks"), F.col("grp") == F.col("g")).drop("g")
     routed = routed.withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
 
     def read_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
