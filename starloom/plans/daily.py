@@ -30,11 +30,12 @@ class LandingRejected(RuntimeError):
     """A landed file is no usable feed; nothing of this day was taken over."""
 
 
-def land(spark: SparkSession, landing: str, base: str, feeds: dict[str, SourceMapping] = FEEDS) -> None:
+def land(spark: SparkSession, landing: str, base: str, feeds: dict[str, SourceMapping] = FEEDS, packed: bool = False) -> None:
     """A3/A2: accept or reject the landed files, then take them over unchanged, with their elements line by line.
 
     The verdicts on all files are written as a table below `landing_report`; an error only counts them. Nothing is
     taken over unless all files pass, and a file that lands after its report was written waits for the next run.
+    `packed` payloads and lines are gzip files.
     """
     verdicts = landing_report(spark, landing).drop("payload")
     report = replace_rows(verdicts, f"{base}/landing_report")
@@ -44,9 +45,9 @@ def land(spark: SparkSession, landing: str, base: str, feeds: dict[str, SourceMa
         table = current_path(spark, f"{base}/landing_report")
         raise LandingRejected(f"{sum(r['count'] for r in counts)} files rejected ({listed}); see {table}")
     known = report.select("path", "accepted")
-    promote(landed_payloads(spark, landing).join(known, "path"), base)
+    promote(landed_payloads(spark, landing).join(known, "path"), base, **({"packed": True} if packed else {}))
     for source, day in report.select("source", "ingestion_date").distinct().collect():  # feeds of one landing
-        split_elements(spark, base, source, day, feeds[source].root if source in feeds else None)
+        split_elements(spark, base, source, day, feeds[source].root if source in feeds else None, packed)
 
 
 def conform_day(spark: SparkSession, base: str, mapping: SourceMapping, day: date) -> dict[str, int]:
@@ -56,7 +57,7 @@ def conform_day(spark: SparkSession, base: str, mapping: SourceMapping, day: dat
     its own, which both outputs read.
     """
     if not path_exists(spark, day_path(f"{base}/elements", mapping.source, day)):
-        split_elements(spark, base, mapping.source, day, mapping.root)
+        split_elements(spark, base, mapping.source, day, mapping.root, packed=True)
     raw = read_elements(spark, base, mapping.source, day, mapping.schema)
     projected = conform(raw.drop("source", "ingestion_date"), mapping, day).base
     path = day_path(f"{base}/conformed", mapping.source, day)
@@ -88,7 +89,7 @@ def run_day(
     `cluster_facts` sorts the fact by date, for tables of hundreds of millions of rows.
     """
     if landing:
-        land(spark, landing, base, feeds)
+        land(spark, landing, base, feeds, packed=True)
     counts = {name: conform_day(spark, base, mapping, day) for name, mapping in feeds.items()}
 
     empty = {t: [(feeds[n].source, day) for n, c in counts.items() if not c[folder]] for t, (folder, _) in RAW_TABLES.items()}

@@ -18,7 +18,7 @@ from starloom.queries.registry import Tables, query
 from starloom.queries.star import SUITE_PASSES
 from starloom.schemas import FLAT_FEED
 from starloom.session import scratch_path
-from starloom.sources.bronze import flatten_pages, judge_payloads, promote, read_elements, read_feed, split_elements
+from starloom.sources.bronze import PACKED, flatten_pages, judge_payloads, promote, read_elements, read_feed, split_elements
 from starloom.sources.lake import (
     conform_to,
     empty_frame,
@@ -271,6 +271,7 @@ def _land_three_feeds(t: Tables, landing: str) -> None:
             payload_files(rows, key, element, mapping.source, size)
             .write.mode("append")
             .option("maxRecordsPerFile", 1)
+            .options(**PACKED)
             .partitionBy("source", "ingestion_date")
             .text(landing)
         )
